@@ -574,7 +574,7 @@ def format_numbers(spark: SparkSession, sf: str) -> DataFrame:
     means = blank_interval(_shares(spark, sf, PLAN_NUMERIC))
     res = shares.unionByName(means)
     f = format_results(res, ["dependent.var", "independent.var"])
-    return f.select("dependent.var", "dependent.var.value", "independent.var.value", "formatted")
+    return cols.select_cols(f, ["dependent.var", "dependent.var.value", "independent.var.value", "formatted"])
 
 
 def results_subset(spark: SparkSession, sf: str) -> DataFrame:
