@@ -27,10 +27,13 @@ def add_admin_names(df: DataFrame, admin: DataFrame, levels: Sequence[tuple[str,
     """Left join each level's distinct (code, name) dimension on the data's code column.
 
     ``levels`` holds ``(admin_code_col, admin_name_col, data_code_col, out_name_col)``.
-    A code with two names multiplies rows, as a left join does."""
+    A code with two names multiplies rows, as a left join does.  An existing column
+    named like an output column is replaced (no ``.x`` / ``.y`` pairs)."""
     out = df
     for code_c, name_c, data_code, out_name in levels:
         dim = dimension(admin, code_c, name_c, data_code, out_name)
+        if out_name in out.columns:
+            out = out.drop(out_name)
         out = out.join(dim, data_code, "left")
     if constants:
         out = out.withColumns({k: F.lit(v) for k, v in constants.items()})

@@ -72,7 +72,7 @@ def assign_site_codes(df: DataFrame, code_col: str, name_col: str, district_col:
     numbered = ranked.withColumn(
         code_col, paste(col(district_col), "_", (F.lit(first) + (F.col("_rn") - 1) % span).cast("long"))
     ).drop("_rn")
-    return have.unionByName(numbered.select(*df.columns))
+    return have.unionByName(numbered.select(*[col(c) for c in df.columns]))
 
 
 def dashed_code(c) -> Column:
