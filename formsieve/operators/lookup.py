@@ -67,11 +67,11 @@ def literal_map(pairs: Mapping[str, str] | Sequence[tuple]) -> Column:
 def dictionary_map(dictionary: DataFrame, key: str = "name", value: str = "label_english",
                    ord_col: str = "ord", max_entries: int = MAX_LITERAL_ENTRIES) -> Column | None:
     """The first-match dictionary as one literal map, or ``None`` when it is larger than
-    ``max_entries`` (size checked before anything is pulled to the driver)."""
+    ``max_entries``.  One bounded job: at most ``max_entries + 1`` rows reach the driver."""
     d = first_per_code(dictionary, key, value, ord_col)
-    if d.limit(max_entries + 1).count() > max_entries:
+    rows = d.select(col(key).cast("string"), col(value).cast("string")).limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
         return None
-    rows = d.select(col(key).cast("string"), col(value).cast("string")).collect()
     return literal_map([(r[0], r[1]) for r in rows])
 
 

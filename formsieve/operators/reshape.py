@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from formsieve.functions.nulls import col, paste
 
+# Most columns a wide merge table may get; more raise instead of being cut.
+MAX_WIDE_COLUMNS = 20_000
+
 # Result columns dropped before a merge table is built.
 MERGE_DROP = ["X", "se", "min", "max", "repeat.var", "repeat.var.value", "independent.var"]
 
@@ -70,10 +73,22 @@ def to_merge_table(results: DataFrame, keys: Sequence[str] | None = None,
     r = results.drop(*[c for c in MERGE_DROP if c in results.columns])
     r = r.withColumn("var", composite_key("dependent.var", "dependent.var.value", sep="."))
     if keys is None:
-        keys = [row[0] for row in r.select("var").distinct().orderBy("var").collect()]
+        r, keys = pivot_keys(r, "var")
     return spread(r, [index], "var", "numbers", keys)
 
 
+def pivot_keys(df: DataFrame, key: str, max_keys: int = MAX_WIDE_COLUMNS):
+    """The distinct values of a pivot key, read once.  The (aggregated, small) frame is
+    checkpointed into the shared checkpoint folder first so the pivot does not recompute
+    it; more than ``max_keys`` distinct values is an error, never a silent cut."""
+    from formsieve.session import materialize
+    fixed = materialize(df)
+    keys = [r[0] for r in fixed.select(col(key)).distinct().orderBy(col(key)).limit(max_keys + 1).collect()]
+    if len(keys) > max_keys:
+        raise ValueError(f"more than {max_keys} pivot columns for {key!r}")
+    return fixed, keys
+
+
 def to_merge_table_confints(results: DataFrame, keys: Sequence[str],
                             rows: Sequence[str] = ("repeat.var", "repeat.var.value"),
                             values: Sequence[str] = ("numbers", "min", "max"),

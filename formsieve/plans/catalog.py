@@ -563,8 +563,8 @@ def merge_confints(spark: SparkSession, sf: str) -> DataFrame:
     res = _merge_input(spark, sf).drop("is_percent", "repeat.var", "repeat.var.value")
     res = res.withColumns({n: _round(n) for n in ["numbers", "min", "max"]})
     keyed = res.withColumn("_k", reshape.composite_key("dependent.var", "dependent.var.value", sep=":::"))
-    keys = [r[0] for r in keyed.select("_k").distinct().orderBy("_k").collect()]
-    return reshape.to_merge_table_confints(res, keys, rows=("independent.var", "independent.var.value"))
+    keyed, keys = reshape.pivot_keys(keyed, "_k")
+    return reshape.to_merge_table_confints(keyed.drop("_k"), keys, rows=("independent.var", "independent.var.value"))
 
 
 def format_numbers(spark: SparkSession, sf: str) -> DataFrame:
