@@ -27,7 +27,7 @@ from formsieve.operators import lookup
 from formsieve.operators import reshape
 from formsieve.operators.corrections import apply_log as _apply_log
 from formsieve.operators.sitecodes import assign_site_codes, dashed_code, final_code
-from formsieve.plans import analysis
+from formsieve.plans import analysis, survey
 from formsieve.session import checkpoint_dir
 from formsieve.sources import io
 
@@ -35,10 +35,10 @@ from formsieve.sources import io
 # Issue texts of the rules bound to the driver tables.
 ISSUE_RANGE = "The value provided may contain errors"
 ISSUE_CROSS = "Answers contradict each other"
-ISSUE_ADEQUACY = "Service marked both as 'adequate' and as a 'priority need'"
-ADEQUACY_VARIABLE = "Multiple (from rrm_distribution to waste_disposal_services)"
-ISSUE_PREFIX = "The phone number provided may contain errors"
-ISSUE_DUPLICATE = "Duplicate site name:  check area code"
+ISSUE_ADEQUACY = survey.ISSUE_ADEQUACY
+ADEQUACY_VARIABLE = survey.ADEQUACY_VARIABLE
+ISSUE_PREFIX = survey.ISSUE_PHONE
+ISSUE_DUPLICATE = survey.ISSUE_DUPLICATE
 
 # A code dictionary for the driver tables' codes, in file order (``ord`` = position).
 # Codes repeat across lists ('F', 'O'), so a frame-wide lookup takes the first row.
@@ -61,13 +61,8 @@ CODE_DICTIONARY = [
     ("line", "1", "First line"),
 ]
 
-# Status -> icon table of the per-site merge (the reference's four rows).
-STATUS_ICONS = {
-    "not_applicable": "./merge/grey.png",
-    "inadequate": "./merge/red.png",
-    "non_existent": "./merge/grey.png",
-    "adequate": "./merge/green.png",
-}
+# Status -> icon table of the per-site merge.
+STATUS_ICONS = survey.STATUS_ICONS
 
 # Analysis plans bound to lineitem x supplier (direct reporting, categorical).
 PLAN_SHARES = [
