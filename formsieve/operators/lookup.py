@@ -81,32 +81,36 @@ def _cell_text(df: DataFrame, c: str) -> Column:
 
 def label_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
                   key: str = "name", value: str = "label_english", ord_col: str = "ord",
-                  id_col: str | None = None, max_entries: int = MAX_LITERAL_ENTRIES) -> DataFrame:
+                  max_entries: int = MAX_LITERAL_ENTRIES, id_col: str | None = None) -> DataFrame:
     """Every cell of ``cols`` replaced by its first-match label; unmatched -> null.
 
     Bounded dictionary: one literal map, one ``try_element_at`` per column, all inside
     the scan's codegen stage (no join).  Larger dictionary: unpivot -> one join ->
-    pivot back on ``id_col``."""
+    pivot back (``label_columns_join``).  ``id_col`` is accepted for compatibility; the
+    join path numbers rows itself, so duplicated ids cannot mix labels."""
     m = dictionary_map(dictionary, key, value, ord_col, max_entries)
     if m is not None:
         return df.withColumns({c: F.try_element_at(m, _cell_text(df, c)) for c in cols})
-    if id_col is None:
-        raise ValueError("dictionary too large for a literal map: pass id_col for the join path")
-    return label_columns_join(df, cols, dictionary, id_col, key, value, ord_col)
+    return label_columns_join(df, cols, dictionary, key, value, ord_col)
 
 
-def label_columns_join(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, id_col: str,
+def label_columns_join(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
                        key: str = "name", value: str = "label_english", ord_col: str = "ord") -> DataFrame:
-    """J2, join path: unpivot the coded cells, one join with the reduced dictionary, pivot
-    back with the known column list (no extra job to discover pivot values)."""
+    """J2, join path for dictionaries too large for a literal map.
+
+    Rows get an id that a reliable checkpoint fixes across retries; the coded cells
+    are unpivoted, joined once with the reduced dictionary (AQE splits a hot code) and
+    pivoted back with the known column list, then joined to the rest of the row."""
+    from formsieve.session import materialize
+    rid = "_fs_rid"
+    base = materialize(df.withColumn(rid, F.monotonically_increasing_id()))
     d = first_per_code(dictionary, key, value, ord_col).select(
         col(key).cast("string").alias("_code"), col(value).alias("_label"))
-    long = df.select(col(id_col), *[_cell_text(df, c).alias(c) for c in cols]) \
-        .unpivot([id_col], list(cols), "_var", "_code")
+    long = base.select(F.col(rid), *[_cell_text(df, c).alias(c) for c in cols]) \
+        .unpivot([rid], list(cols), "_var", "_code")
     labelled = long.join(d, "_code", "left")
-    wide = labelled.groupBy(col(id_col)).pivot("_var", list(cols)).agg(F.first("_label"))
-    rest = df.drop(*cols)
-    out = rest.join(wide, id_col, "left")
+    wide = labelled.groupBy(F.col(rid)).pivot("_var", list(cols)).agg(F.first("_label"))
+    out = base.drop(*cols).join(wide, rid, "left")
     return out.select(*[col(c) for c in df.columns])
 
 

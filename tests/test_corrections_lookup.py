@@ -56,13 +56,21 @@ def test_frame_wide_map_and_join_paths_agree(spark):
     df = spark.createDataFrame([("u1", "yes", "adequate", 1.0), ("u2", "free text", None, 0.0), ("u3", "mdf", "no", 2.0)],
                                "uuid string, a string, b string, f double")
     by_map = lookup.label_columns(df, ["a", "b", "f"], d)
-    by_join = lookup.label_columns_join(df, ["a", "b", "f"], d, "uuid")
+    by_join = lookup.label_columns_join(df, ["a", "b", "f"], d)
     assert rows(by_map) == rows(by_join)
     assert rows(by_map) == [("u1", "Yes", "Adequate", "Yes"), ("u2", None, None, "No"), ("u3", "MDF first", "No", None)]
     # the map path is a projection: no join in the plan
     assert "Join" not in by_map._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_join_path_with_duplicated_ids(spark):
+    d = dictionary_df(spark)
+    df = spark.createDataFrame([("u1", "yes"), ("u1", "no"), ("u2", None)], "uuid string, a string")
+    assert rows(lookup.label_columns_join(df, ["a"], d)) == [("u1", "No"), ("u1", "Yes"), ("u2", None)]
+    # a dictionary larger than the literal limit takes the join path and agrees
+    assert rows(lookup.label_columns(df, ["a"], d, max_entries=2)) == rows(lookup.label_columns(df, ["a"], d))
+
+
 def test_icon_map_and_recode(spark):
     df = spark.createDataFrame([("adequate",), ("inadequate",), ("weird",)], "s string")
     out = lookup.map_values(df, ["s"], {"adequate": "green.png", "inadequate": "red.png"})
