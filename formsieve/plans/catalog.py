@@ -650,9 +650,10 @@ def site_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def io_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Nation (parquet) and region (CSV) written as two
-    tables of one dated run directory under the shared checkpoint folder, read back
-    with declared schemas and joined."""
+    """Nation (parquet) and region (CSV) written as two tables of
+    one run directory dated by argument, under the shared checkpoint folder; read back
+    with declared schemas (nation as a run table, region through the admin-list
+    reader) and joined."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/io_roundtrip/{_uuid.uuid4().hex}"
     run_dir = io.dated_path(base, "2026-01-01")
     io.write_tables({"nation": _t(spark, sf, "nation")}, run_dir)
@@ -660,8 +661,8 @@ def io_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     n = io.read_sheet(spark, run_dir, "nation", T.StructType([
         T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
         T.StructField("n_regionkey", T.IntegerType())]))
-    r = io.read_responses(spark, f"{run_dir}/region", T.StructType([
-        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]), fmt="csv")
+    r = io.read_admin_list(spark, f"{run_dir}/region", schema=T.StructType([
+        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]))
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
 
 

@@ -89,9 +89,33 @@ def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFra
     return df.filter(~(blank("list_name") & blank("name")))
 
 
-def read_admin_list(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Administrative list (three levels of code and name)."""
-    return _reader(spark, fmt, None, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
+def read_admin_list(spark: SparkSession, path: str, fmt: str = "csv",
+                    schema: T.StructType | None = None) -> DataFrame:
+    """Administrative list (three levels of code and name), UTF-8."""
+    return _reader(spark, fmt, schema, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
+
+
+def read_correction_log(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """S2 for an edited log: the ``cleaning_log`` table with an ``ord`` column.
+
+    "Last entry wins" needs the log's row order: a stored ``ord`` is kept, otherwise it
+    is the read order of a single-split file (logs are small edited tables)."""
+    df = _reader(spark, fmt, None, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
+    return df if "ord" in df.columns else df.withColumn("ord", F.monotonically_increasing_id())
+
+
+def read_questionnaire(spark: SparkSession, questions_path: str, choices_path: str,
+                       fmt: str = "csv") -> tuple[dict[str, str], DataFrame, DataFrame]:
+    """The questionnaire bound to the data - question types (metadata, read on the
+    driver; one row per question), the choices dictionary, and question -> choice list.
+
+    Question types look like ``select_one list_name``; the list name is split off."""
+    q = _reader(spark, fmt, None, {"encoding": "UTF-8"} if fmt == "csv" else None).load(questions_path)
+    q = q.select(F.lower(F.trim(F.col("name"))).alias("name"), F.trim(F.col("type")).alias("type"))
+    types = {r["name"]: r["type"] for r in q.filter(F.col("name").isNotNull()).collect()}
+    lists = q.select("name", F.try_element_at(F.split("type", r"\s+"), F.lit(2)).alias("list_name")) \
+        .filter(F.col("list_name").isNotNull())
+    return types, read_dictionary(spark, choices_path, fmt), lists
 
 
 def read_plan(spark: SparkSession, path: str) -> DataFrame:

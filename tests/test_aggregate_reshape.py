@@ -98,3 +98,18 @@ def test_site_codes(spark):
                .select("idx", "code").collect())
     # order among missing codes: name nulls first, then original row: 4, 3, 5, 1
     assert out == {2: "K7", 4: "D2_10", 3: "NA_11", 5: "D1_10", 1: "D1_11"}
+
+
+def test_any_not_null_flags(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", None, None), ("b", 2.0, None)], "g string, lo double, hi double")
+    assert rows(agg.any_not_null(df, ["g"], ["lo", "hi"])) == [("a", False, True), ("b", True, False)]
+
+
+def test_scoped_result_labels(spark):
+    from tests.fixtures import dictionary_df
+    res = spark.createDataFrame([("org", "mdf"), ("org2", "mdf")], "`dependent.var` string, `dependent.var.value` string")
+    lists = spark.createDataFrame([("org", "ngo"), ("org2", "ngo2")], "name string, list_name string")
+    out = analysis.label_results(res, dictionary_df(spark), lists)
+    assert rows(out) == [("org", "mdf", "MDF first"), ("org2", "mdf", "MDF second")]
+    unscoped = analysis.label_results(res, dictionary_df(spark))
+    assert {r[2] for r in unscoped.collect()} == {"MDF first"}

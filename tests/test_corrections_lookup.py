@@ -109,3 +109,21 @@ def test_trimmed_master_lookup(spark):
     master = spark.createDataFrame([("Camp A ", "M1", 1), ("Camp A", "M9", 2)], "site_name string, site_code string, o long")
     out = lookup.lookup_by_trimmed_name(df, "name", master, "mc", ord_col="o")
     assert rows(out.select("own", lookup.override_code("mc", "own"))) == [("X1", "M1"), ("X2", "X2")]
+
+
+def test_attach_by_key_first_by_order(spark):
+    log = spark.createDataFrame([("u1", "x")], "uuid string, issue string")
+    data = spark.createDataFrame([("u1", "ngo_b", 2), ("u1", "ngo_a", 1)], "uuid string, org string, idx int")
+    assert rows(joins.attach_by_key(log, data, "uuid", ["org"], "idx")) == [("u1", "x", "ngo_a")]
+
+
+def test_row_id_is_a_total_order(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
+    assert rows(joins.with_row_id(df, ["k"]), "k", "row_id") == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_sort_nulls_first_is_stable(spark):
+    from formsieve.operators.sitecodes import sort_nulls_first
+    df = spark.createDataFrame([(None, "b", 1), ("x", None, 2), (None, "a", 3), (None, "a", 0)],
+                               "code string, name string, o int")
+    assert [r.o for r in sort_nulls_first(df, ["code", "name"], "o").collect()] == [0, 3, 1, 2]

@@ -52,3 +52,32 @@ def test_plan_reader(spark):
     from formsieve.plans.analysis import plan_rows
     rows_ = plan_rows(io.read_plan(spark, path))
     assert rows_[0].dependent == "b1_site_management" and rows_[0].repeat is None
+
+
+def test_correction_log_reader_keeps_order(spark):
+    d = tempfile.mkdtemp(prefix="formsieve-log-")
+    path = os.path.join(d, "log.csv")
+    with open(path, "w") as f:
+        f.write("uuid,variable,new_value,fix,change\nu1,hh,11,x,TRUE\nu1,hh,12,x,TRUE\n")
+    log = io.read_correction_log(spark, path)
+    from formsieve.operators.corrections import reduce_log
+    assert reduce_log(log).collect()[0]["new_value"] == "12"
+
+
+def test_questionnaire_reader(spark):
+    d = tempfile.mkdtemp(prefix="formsieve-q-")
+    qp, cp = os.path.join(d, "questions.csv"), os.path.join(d, "choices.csv")
+    with open(qp, "w") as f:
+        f.write("type,name\nselect_one yes_no,B1_site_management\ninteger,a7_hh\ntext,comments\n")
+    with open(cp, "w") as f:
+        f.write("list_name,name,label::english\nyes_no,yes,Yes\nyes_no,no,No\n")
+    types, choices, lists = io.read_questionnaire(spark, qp, cp)
+    assert types == {"b1_site_management": "select_one yes_no", "a7_hh": "integer", "comments": "text"}
+    assert [tuple(r) for r in lists.collect()] == [("b1_site_management", "yes_no")]
+    assert choices.count() == 2
+
+
+def test_site_master_reader_trims(spark):
+    d = tempfile.mkdtemp(prefix="formsieve-master-")
+    spark.createDataFrame([(" Camp A\t", "C1")], "`site.name` string, `new.code` string").write.parquet(f"{d}/m")
+    assert [tuple(r) for r in io.read_site_master(spark, f"{d}/m").collect()] == [("Camp A", "C1")]
