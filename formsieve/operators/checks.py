@@ -6,8 +6,8 @@ structs (nulls removed) is exploded with ``inline_outer``.  A null predicate nev
 as a filter on ``ifelse(NA, 1, 0) == 1`` drops it.  No shuffle at all.
 
 Duplicates are a partial aggregate of key counts joined back (never a window over a
-possibly hot key).  Outliers are one aggregate of per-column moments - a table with
-one row per column, so broadcasting it back is bounded - then one flagging scan.
+possibly hot key).  Outliers are one global aggregate of per-column moments (one row,
+bounded by the column count) and then one flagging projection over the scan.
 """
 
 from __future__ import annotations
@@ -210,37 +210,48 @@ OUTLIER_NORMAL = "outlier (normal distribution)"
 OUTLIER_LOG = "outlier (log-normal distribution)"
 
 
-def numeric_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def numeric_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     """Mean and sample sd per column, raw and log scale (log only of positive values).
 
-    One scan; the unpivot (Expand) and the partial aggregate share a codegen stage,
-    so only one small partial row per column and task is shuffled."""
-    long = df.select(*[col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([], list(cols), "variable", "value").filter(F.col("value").isNotNull())
-    lv = F.when(F.col("value") > 0, F.log(F.col("value")))
-    return long.groupBy("variable").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),
-        F.avg(lv).alias("mean_log"), F.stddev_samp(lv).alias("sd_log"))
+    One global aggregate over one scan (partial per task, a handful of partial rows
+    merged); the result is one row of four numbers per column, so it is read on the
+    driver - a size bounded by the schema, not the data."""
+    aggs = []
+    for c in cols:
+        v = col(c).cast("double")
+        lv = F.when(v > 0, F.log(v))
+        aggs += [F.avg(v), F.stddev_samp(v), F.avg(lv), F.stddev_samp(lv)]
+    row = df.agg(*aggs).first()
+    return {c: tuple(row[4 * i:4 * i + 4]) for i, c in enumerate(cols)}
 
 
 def outliers(df: DataFrame, id_col: str, cols: Sequence[str], k: float = 3.0,
              log_scale: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """``(id, keep..., variable, value, issue_type)`` for values outside mean +- k sd
-    (raw scale), and on the log scale for positive values.  Thresholds are parameters."""
-    moments = F.broadcast(numeric_moments(df, cols))  # one row per column: bounded
-    long = df.select(col(id_col), *[col(c) for c in keep],
-                     *[col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot([id_col] + list(keep), list(cols), "variable", "value") \
-        .filter(F.col("value").isNotNull())
-    j = long.join(moments, "variable")
-    raw = F.abs(F.col("value") - F.col("mean")) > F.lit(k) * F.col("sd")
-    checks = [F.when(raw, F.lit(OUTLIER_NORMAL))]
-    if log_scale:
-        logv = F.when(F.col("value") > 0, F.log(F.col("value")))
-        checks.append(F.when(F.abs(logv - F.col("mean_log")) > F.lit(k) * F.col("sd_log"), F.lit(OUTLIER_LOG)))
-    issues = F.filter(F.array(*checks), lambda e: e.isNotNull())
-    return j.select(col(id_col), *[col(c) for c in keep], "variable", "value",
-                    F.explode(issues).alias("issue_type"))
+    (raw scale), and on the log scale for positive values.  Thresholds are parameters.
+
+    The moments enter as literals, so flagging is one projection over the scan - the
+    same one-array-per-row form as the rule runner - with no unpivot of every row and
+    no join."""
+    stats = numeric_moments(df, cols)
+    entries = []
+    for c in cols:
+        mean, sd, mean_log, sd_log = stats[c]
+        v = col(c).cast("double")
+        if mean is not None and sd is not None:
+            flag = F.abs(v - F.lit(mean)) > F.lit(k) * F.lit(sd)
+            entries.append(F.when(flag, F.struct(F.lit(c).alias("variable"), v.alias("value"),
+                                                 F.lit(OUTLIER_NORMAL).alias("issue_type"))))
+        if log_scale and mean_log is not None and sd_log is not None:
+            flag = F.abs(F.when(v > 0, F.log(v)) - F.lit(mean_log)) > F.lit(k) * F.lit(sd_log)
+            entries.append(F.when(flag, F.struct(F.lit(c).alias("variable"), v.alias("value"),
+                                                 F.lit(OUTLIER_LOG).alias("issue_type"))))
+    if not entries:
+        entries = [F.lit(None).cast("struct<variable:string,value:double,issue_type:string>")]
+    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    base = df.select(col(id_col), *[col(c) for c in keep], hits.alias("_hits"))
+    out = base.select(col(id_col), *[col(c) for c in keep], F.inline_outer("_hits"))
+    return out.filter(F.col("variable").isNotNull())
 
 
 def outlier_log(df: DataFrame, cols: Sequence[str], ctx: LogContext, k: float = 3.0,
