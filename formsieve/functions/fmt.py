@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formsieve.functions.nulls import col, join_on, num_to_text, paste
+from formsieve.functions.nulls import col, num_to_text, paste
 
 
 def pct100(c, digits: int = 0) -> Column:
@@ -47,16 +47,13 @@ def fmt_percent_unrounded(x: Column) -> Column:
 
 def format_results(results: DataFrame, analysis_keys: list[str], is_percent_col: str = "is_percent",
                    max_digits_non_percent: int = 2, out_col: str = "formatted") -> DataFrame:
-    """F16 + D14 over a long result table: the ``has_confints`` flag is an any-not-null
-    aggregate per analysis (one small aggregate joined back on the analysis key)."""
-    flags = results.groupBy(*[col(k) for k in analysis_keys]).agg(
-        F.bool_or(F.col("min").isNotNull() | F.col("max").isNotNull()).alias("has_confints"),
-        F.bool_or(F.col("`dependent.var.value`").isNotNull()).alias("has_dependent_var_values"),
-        F.bool_or(F.col("`independent.var.value`").isNotNull()).alias("has_independent_var_values"),
-    )
-    joined = join_on(results, flags, analysis_keys, "left")
-    return joined.withColumn(out_col, format_result("numbers", "min", "max", col(is_percent_col),
-                                                    F.col("has_confints"), max_digits_non_percent))
+    """F16 + D14 over a long result table: ``has_confints`` is an any-not-null aggregate
+    per analysis, taken as a window over the (aggregated) result rows so the results
+    are computed once."""
+    w = Window.partitionBy(*[col(k) for k in analysis_keys])
+    flagged = results.withColumn("has_confints", F.bool_or(F.col("min").isNotNull() | F.col("max").isNotNull()).over(w))
+    return flagged.withColumn(out_col, format_result("numbers", "min", "max", col(is_percent_col),
+                                                     F.col("has_confints"), max_digits_non_percent))
 
 
 def blank_interval(results: DataFrame) -> DataFrame:

@@ -1,15 +1,16 @@
 """Aggregations.
 
-Everything here is a ``groupBy`` with partial aggregation; "top per group" and "mode"
-are aggregates joined back on the group key instead of windows, so a group holding a
-third of all rows is combined map-side and never lands whole in one task.
+Everything here is a ``groupBy`` with partial aggregation; "top per group" and shares
+are windows over the AGGREGATED rows (one group's categories), never over raw rows,
+so a group holding a third of all rows is combined map-side and never lands whole in
+one task, and the data is scanned once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formsieve.functions.nulls import col, strict_sum
@@ -54,13 +55,13 @@ def weighted_votes(df: DataFrame, group: str | Sequence[str], category: str, wei
 def top1_with_ties(df: DataFrame, group: str | Sequence[str], value: str) -> DataFrame:
     """Rows whose ``value`` equals the group maximum; ties kept, null values dropped.
 
-    The maximum is a partial aggregate joined back on the group key (equal to
-    ``rank() == 1`` without a window over the group)."""
+    Meant for aggregated input (one row per group and category, as the weighted votes
+    are): the maximum is a window over those rows, so the votes are computed once and a
+    window partition holds one group's categories - never the group's raw rows."""
     g = _keys(group)
-    best = df.filter(col(value).isNotNull()).groupBy(*[col(k) for k in g]) \
-        .agg(F.max(col(value)).alias("_best"))
-    j = df.join(best, g, "inner")
-    return j.filter(col(value) == F.col("_best")).drop("_best")
+    best = F.max(col(value)).over(Window.partitionBy(*[col(k) for k in g]))
+    return df.filter(col(value).isNotNull()).withColumn("_best", best) \
+        .filter(col(value) == F.col("_best")).drop("_best")
 
 
 def top1_first(df: DataFrame, group: str | Sequence[str], value: str, tie_break: str) -> DataFrame:
@@ -86,6 +87,28 @@ def weighted_mode(df: DataFrame, group: str, category: str, weight: str, out: st
     return top.select(col(group).alias(group), col(category).alias(out))
 
 
+def weighted_modes(df: DataFrame, group: str, specs: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """D6 for several (category, weight, out) triples in ONE pass: the pairs are unpivoted
+    (Expand, in the scan's stage), strict-summed in one partial aggregate and the top
+    per (out, group) taken with ties.  Long result ``(group, indicator, value)``."""
+    pairs = F.array(*[F.struct(F.lit(o).alias("ind"), col(c).cast("string").alias("cat"),
+                               to_number(w).alias("w")) for c, w, o in specs])
+    long = df.select(col(group).alias(group), F.inline(pairs)) \
+        .filter(col(group).isNotNull() & F.col("cat").isNotNull())
+    votes = long.groupBy(col(group), "ind", "cat").agg(strict_sum("w").alias("_w"))
+    top = top1_with_ties(votes, [group, "ind"], "_w")
+    return top.select(col(group), F.col("ind").alias("indicator"), F.col("cat").alias("value"))
+
+
+def modes_by_indicator(long: DataFrame, group: str, names: Sequence[str]) -> list[DataFrame]:
+    """The long result of ``weighted_modes`` as one ``(group, name)`` frame per indicator,
+    ready for a left-join chain (ties fan out there, as joining the tables does).  The
+    small long result is checkpointed once so the frames do not recompute it."""
+    from formsieve.session import materialize
+    fixed = materialize(long)
+    return [fixed.filter(F.col("indicator") == n).select(col(group), F.col("value").alias(n)) for n in names]
+
+
 def mode_first_seen(df: DataFrame, group: str | Sequence[str], value: str, ord_col: str,
                     out: str = "mode") -> DataFrame:
     """Most frequent value per group; ties go to the value seen first (lowest
@@ -98,10 +121,10 @@ def mode_first_seen(df: DataFrame, group: str | Sequence[str], value: str, ord_c
 
 
 def share_within(df: DataFrame, group: Sequence[str], count_col: str = "n", out: str = "share") -> DataFrame:
-    """``count / sum(count)`` within the group; the totals are an aggregate joined back."""
-    totals = df.groupBy(*[col(k) for k in group]).agg(F.sum(col(count_col)).alias("_total"))
-    return df.join(totals, list(group), "inner") \
-        .withColumn(out, col(count_col) / F.col("_total")).drop("_total")
+    """``count / sum(count)`` within the group, for aggregated counts (a window over
+    one group's aggregated rows)."""
+    return df.withColumn(out, col(count_col) / F.sum(col(count_col)).over(
+        Window.partitionBy(*[col(k) for k in group])))
 
 
 def any_not_null(df: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -81,21 +81,29 @@ def _cell_text(df: DataFrame, c: str) -> Column:
 
 def label_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
                   key: str = "name", value: str = "label_english", ord_col: str = "ord",
-                  max_entries: int = MAX_LITERAL_ENTRIES, id_col: str | None = None) -> DataFrame:
-    """Every cell of ``cols`` replaced by its first-match label; unmatched -> null.
+                  max_entries: int = MAX_LITERAL_ENTRIES, id_col: str | None = None,
+                  keep_unmatched: bool = False) -> DataFrame:
+    """Every cell of ``cols`` replaced by its first-match label; unmatched -> null
+    (or, with ``keep_unmatched``, the cell's own text).
 
     Bounded dictionary: one literal map, one ``try_element_at`` per column, all inside
     the scan's codegen stage (no join).  Larger dictionary: unpivot -> one join ->
     pivot back (``label_columns_join``).  ``id_col`` is accepted for compatibility; the
     join path numbers rows itself, so duplicated ids cannot mix labels."""
     m = dictionary_map(dictionary, key, value, ord_col, max_entries)
-    if m is not None:
-        return df.withColumns({c: F.try_element_at(m, _cell_text(df, c)) for c in cols})
-    return label_columns_join(df, cols, dictionary, key, value, ord_col)
+    if m is None:
+        return label_columns_join(df, cols, dictionary, key, value, ord_col, keep_unmatched)
+
+    def label(c):
+        text = _cell_text(df, c)
+        hit = F.try_element_at(m, text)
+        return F.coalesce(hit, text) if keep_unmatched else hit
+    return df.withColumns({c: label(c) for c in cols})
 
 
 def label_columns_join(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                       key: str = "name", value: str = "label_english", ord_col: str = "ord") -> DataFrame:
+                       key: str = "name", value: str = "label_english", ord_col: str = "ord",
+                       keep_unmatched: bool = False) -> DataFrame:
     """J2, join path for dictionaries too large for a literal map.
 
     Rows get an id that a reliable checkpoint fixes across retries; the coded cells
@@ -109,7 +117,8 @@ def label_columns_join(df: DataFrame, cols: Sequence[str], dictionary: DataFrame
     long = base.select(F.col(rid), *[_cell_text(df, c).alias(c) for c in cols]) \
         .unpivot([rid], list(cols), "_var", "_code")
     labelled = long.join(d, "_code", "left")
-    wide = labelled.groupBy(F.col(rid)).pivot("_var", list(cols)).agg(F.first("_label"))
+    cell = F.coalesce(F.col("_label"), F.col("_code")) if keep_unmatched else F.col("_label")
+    wide = labelled.groupBy(F.col(rid)).pivot("_var", list(cols)).agg(F.first(cell))
     out = base.drop(*cols).join(wide, rid, "left")
     return out.select(*[col(c) for c in df.columns])
 

@@ -2,9 +2,10 @@
 
 A plan is metadata: a few dozen rows naming a grouping column and dependent columns.
 The plan rows are read on the driver (bounded by the plan, not the data) and turned
-into ONE job per (grouping, repeat) pair: the dependent columns are unpivoted (Expand,
-same codegen stage as the scan) and counted with a partial aggregate - all indicators
-in one scan and one small shuffle, instead of one pass per indicator.
+into one aggregate per (grouping, repeat, type) bucket: the dependent columns are
+unpivoted (Expand, same codegen stage as the scan) and counted with a partial
+aggregate - all indicators of a bucket in one scan and one small shuffle, instead of
+one pass per indicator.  Totals are windows over the aggregated counts.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,8 +100,9 @@ def categorical_shares(df: DataFrame, dependents: Sequence[str], independent: st
     for k in keys:
         long = long.filter(F.col(k).isNotNull())
     counts = long.groupBy(*keys, "_var", "_val").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.groupBy(*keys, "_var").agg(F.sum("_n").alias("_total"))
-    j = counts.join(totals, keys + ["_var"], "inner")
+    # The total per (group, variable) is a window over the aggregated counts: one scan of
+    # the data, and a window partition holds one group's distinct answers, not its rows.
+    j = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys, "_var")))
     p = F.col("_n") / F.col("_total")
     se = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
     return j.select(

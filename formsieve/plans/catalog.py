@@ -480,12 +480,14 @@ def mode_first_seen(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def indicator_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-nation indicators joined in a left chain; tied modes fan out."""
+    """Per-nation indicators joined in a left chain; tied modes fan out.  The
+    two weighted modes come from one pass (``weighted_modes``)."""
     w = _weights(spark, sf)
     counts = agg.group_count(w, "c_nationkey", "n_orders").withColumn("n_orders", F.col("n_orders").cast("long"))
-    seg = agg.weighted_mode(w, "c_nationkey", "c_mktsegment", "w", "most_segment")
-    prio = agg.weighted_mode(w, "c_nationkey", "o_orderpriority", "w", "most_priority")
-    return joins.join_chain([counts, seg, prio], "c_nationkey")
+    modes = agg.weighted_modes(w, "c_nationkey", [("c_mktsegment", "w", "most_segment"),
+                                                  ("o_orderpriority", "w", "most_priority")])
+    return joins.join_chain([counts] + agg.modes_by_indicator(modes, "c_nationkey", ["most_segment", "most_priority"]),
+                            "c_nationkey")
 
 
 # ------------------------------------------------------------------ analysis plans

@@ -7,8 +7,9 @@
 * ``indicators``       master -> per-group indicator table (plan shares + modes + totals)
 * ``site_merge_table`` per-site report-merge table
 
-Nothing here collects data to the driver; the only driver-side reads are metadata
-(plan rows, a bounded dictionary turned into a literal map).
+Nothing here collects data to the driver; the only driver-side reads are metadata:
+plan rows, a bounded dictionary turned into a literal map, the pivot keys of a merge
+table (bounded, checked).
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formsieve.functions.fmt import map_path, pct100
-from formsieve.functions.nulls import col, fill_values, join_on, na_if_else
-from formsieve.functions.text import replace_all, trim_ws
+from formsieve.functions.nulls import col, fill_values, join_on, na_if_else, strict_sum
+from formsieve.functions.text import replace_all, to_number, trim_ws
 from formsieve.operators import aggregate as agg
 from formsieve.operators import checks
 from formsieve.operators import columns as cols
@@ -97,9 +98,10 @@ def apply_and_publish(responses: DataFrame, correction_log: DataFrame, choices:
                       strict_reference: bool = False) -> dict[str, DataFrame]:
     """Section 3.2: apply the edited log, resolve names, add admin names, split products.
 
-    The dashboard labels coded columns frame-wide.  By default only string columns
-    with at least one dictionary code are candidates; ``strict_reference=True`` labels
-    every column outside the keep-list, turning free text and ids into null as the
+    The dashboard labels the columns outside its keep-list frame-wide.  By default only
+    text columns are labelled and a cell without a dictionary code keeps its own text,
+    so free text survives; ``strict_reference=True`` labels every column outside the
+    keep-list and turns unmatched cells (free text, ids, dates) into null, as the
     original does."""
     clean = apply_log(responses, correction_log)
     clean = resolve_site_names(clean, external_choices)
@@ -119,7 +121,7 @@ def apply_and_publish(responses: DataFrame, correction_log: DataFrame, choices:
     to_label = [c for c in dash.columns if c not in DASHBOARD_KEEP]
     if not strict_reference:
         to_label = [c for c in to_label if isinstance(dash.schema[c].dataType, T.StringType) and c != "_uuid"]
-    dash = lookup.label_columns(dash, to_label, choices, id_col="_uuid" if "_uuid" in dash.columns else None)
+    dash = lookup.label_columns(dash, to_label, choices, keep_unmatched=not strict_reference)
     multi = "a8_population_groups_other_than_idps_in_site_select_all_applicable"
     fixes = {}
     if multi in dash.columns:
@@ -167,18 +169,25 @@ def indicators(master: DataFrame, choices: DataFrame, external_choices: DataFram
                                                       F.lit(None).cast("string"))
                        .when(col("c3_tenancy_agreement_for_at_least_6_months") != "no", agree))
     g = df.withColumnRenamed(group_col, "governorate")
-    tot_sites = agg.group_count(g, "governorate", "tot_sites")
-    totals = agg.group_strict_sums(g, "governorate", {"tot_hh": "a7_site_population_hh",
-                                                      "tot_ind": "a7_site_population_individual"})
-    dist = lookup.lookup_first(g, "d2_1_most_common_district_of_idp_origin", external_choices, "_dist",
-                               list_name="district")
-    most_dist = agg.weighted_mode(dist, "governorate", "_dist", "a7_site_population_individual", "most_district")
-    leave = lookup.lookup_first(g, "d1_most_common_reason_idps_left_place_of_origin", choices, "_leave")
-    most_leave = agg.weighted_mode(leave, "governorate", "_leave", "a7_site_population_individual",
-                                   "most_leave_reason")
-    intent = lookup.lookup_first(g, "d3_most_common_intention_in_next_three_months", choices, "_int")
-    most_int = agg.weighted_mode(intent, "governorate", "_int", "a7_site_population_hh", "most_intention")
-    external = joins.join_chain([tot_sites, totals, most_dist, most_int, most_leave], "governorate")
+    # Counts and strict totals in one aggregate (one scan) ...
+    totals = agg.drop_null_keys(g, "governorate").groupBy("governorate").agg(
+        F.count(F.lit(1)).alias("tot_sites"),
+        strict_sum(to_number("a7_site_population_hh")).alias("tot_hh"),
+        strict_sum(to_number("a7_site_population_individual")).alias("tot_ind"))
+    # ... and the three weighted modes in one more, after their code -> label lookups.
+    labelled_modes = lookup.lookup_first(g, "d2_1_most_common_district_of_idp_origin", external_choices, "_dist",
+                                         list_name="district")
+    labelled_modes = lookup.lookup_first(labelled_modes, "d1_most_common_reason_idps_left_place_of_origin",
+                                         choices, "_leave")
+    labelled_modes = lookup.lookup_first(labelled_modes, "d3_most_common_intention_in_next_three_months",
+                                         choices, "_int")
+    modes = agg.weighted_modes(labelled_modes, "governorate", [
+        ("_dist", "a7_site_population_individual", "most_district"),
+        ("_int", "a7_site_population_hh", "most_intention"),
+        ("_leave", "a7_site_population_individual", "most_leave_reason")])
+    mode_frames = agg.modes_by_indicator(modes, "governorate",
+                                         ["most_district", "most_intention", "most_leave_reason"])
+    external = joins.join_chain([totals] + mode_frames, "governorate")
 
     labelled = cols.reorder_columns(df, [("uuid", "first")])
     rng = [c for c in cols.column_slice(labelled, label_first, label_last) if c != group_col]

@@ -50,10 +50,12 @@ def test_apply_and_publish(spark):
     assert "start" not in out["internal"].columns and "q0_3_organization" not in out["external"].columns
     dash = out["dashboard"]
     assert "_uuid" in dash.columns
-    # coded answers are labelled, free text left alone by default
-    assert {r[0] for r in dash.select("c1_type_of_site").collect()} <= {None}  # no dictionary rows for these codes
-    assert dash.filter(F.col("b1_site_management") == "Yes").count() + \
-        dash.filter(F.col("b1_site_management") == "No").count() > 0
+    # coded answers are labelled; cells without a code keep their text by default
+    assert {r[0] for r in dash.select("b1_site_management").collect()} <= {"Yes", "No", "Don't know", None}
+    assert {r[0] for r in dash.select("c1_type_of_site").collect()} == {"collective_centre", "spontaneous_settlement"}
+    strict = flows.apply_and_publish(resp, log, dictionary_df(spark), _external(spark), admin_df(spark),
+                                     strict_reference=True)["dashboard"]
+    assert {r[0] for r in strict.select("c1_type_of_site").collect()} == {None}
 
 
 def test_append_master_codes_unique(spark):

@@ -32,13 +32,27 @@ def skewed(spark):
         (F.col("id") % 7).cast("string").alias("w"))
 
 
-def test_no_window_over_data_keys(spark, skewed):
-    for df in [checks.duplicated_rows(skewed, "k"),
-               agg.weighted_mode(skewed, "k", "cat", "w", "m"),
+def windows_only_above_aggregates(plan: str) -> bool:
+    """Every Window in the plan has a HashAggregate between it and the data source."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Window [" in line:
+            below = lines[i + 1:]
+            src = next((j for j, l in enumerate(below) if "Range (" in l or "Scan" in l), len(below))
+            if not any("HashAggregate" in l for l in below[:src]):
+                return False
+    return True
+
+
+def test_no_window_over_raw_rows_and_one_scan(spark, skewed):
+    for df in [agg.weighted_mode(skewed, "k", "cat", "w", "m"),
+               agg.weighted_modes(skewed, "k", [("cat", "w", "m1"), ("o", "w", "m2")]),
                agg.mode_first_seen(skewed, "k", "cat", "o"),
                analysis.categorical_shares(skewed, ["cat"], "k")]:
         plan = physical(df)
-        assert "Window" not in plan, plan
+        assert windows_only_above_aggregates(plan), plan
+        assert plan.count("Range (") == 1, plan
+    assert "Window" not in physical(checks.duplicated_rows(skewed, "k"))
 
 
 def test_results_right_under_skew(spark, skewed):
