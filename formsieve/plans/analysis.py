@@ -2,10 +2,10 @@
 
 A plan is metadata: a few dozen rows naming a grouping column and dependent columns.
 The plan rows are read on the driver (bounded by the plan, not the data) and turned
-into one aggregate per (grouping, repeat, type) bucket: the dependent columns are
-unpivoted (Expand, same codegen stage as the scan) and counted with a partial
-aggregate - all indicators of a bucket in one scan and one small shuffle, instead of
-one pass per indicator.  Totals are windows over the aggregated counts.
+into one scan for all categorical rows: each plan row becomes a struct per data row,
+exploded in the scan's codegen stage and counted with one partial aggregate - all
+indicators in one scan and one small shuffle, instead of one pass per indicator.
+Totals are windows over the aggregated counts.
 """
 
 from __future__ import annotations
@@ -82,38 +82,45 @@ def _value_text(df: DataFrame, c: str):
     return num_to_text(c, df.schema[c].dataType)
 
 
-def categorical_shares(df: DataFrame, dependents: Sequence[str], independent: str | None = None,
-                       repeat: str | None = None) -> DataFrame:
-    """D8 (+ D10, D17, N5): share of each answer of each dependent column within each
-    group.  Null answers and null groups are left out of counts and totals."""
-    keys = []
-    sel = []
-    if repeat:
-        sel.append(_value_text(df, repeat).alias("_r"))
-        keys.append("_r")
-    if independent:
-        sel.append(_value_text(df, independent).alias("_g"))
-        keys.append("_g")
-    sel += [_value_text(df, d).alias(d) for d in dependents]
-    long = df.select(*sel).unpivot(keys, list(dependents), "_var", "_val")
-    long = long.filter(F.col("_val").isNotNull())
-    for k in keys:
-        long = long.filter(F.col(k).isNotNull())
-    counts = long.groupBy(*keys, "_var", "_val").agg(F.count(F.lit(1)).alias("_n"))
-    # The total per (group, variable) is a window over the aggregated counts: one scan of
-    # the data, and a window partition holds one group's distinct answers, not its rows.
-    j = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys, "_var")))
+def categorical_rows_shares(df: DataFrame, rows: Sequence[tuple[str, str | None, str | None]]) -> DataFrame:
+    """D8 (+ D10, D17, N5) for many plan rows in ONE scan.
+
+    Each plan row ``(dependent, independent, repeat)`` becomes one struct per data row
+    (its repeat value, group value and answer); the structs are exploded inside the
+    scan's stage and counted with one partial aggregate keyed by (repeat var, repeat
+    value, group var, group value, variable, answer).  The total per analysis and group
+    is a window over those aggregated counts.  Null answers and null groups are left
+    out of counts and totals."""
+    def text(c):
+        return _value_text(df, c) if c else F.lit(None).cast("string")
+    structs = [F.struct(F.lit(rep).cast("string").alias("rv"), text(rep).alias("r"),
+                        F.lit(ind).cast("string").alias("gv"), text(ind).alias("g"),
+                        F.lit(dep).alias("var"), text(dep).alias("val"))
+               for dep, ind, rep in rows]
+    long = df.select(F.inline(F.array(*structs)))
+    long = long.filter(F.col("val").isNotNull()
+                       & (F.col("gv").isNull() | F.col("g").isNotNull())
+                       & (F.col("rv").isNull() | F.col("r").isNotNull()))
+    keys = ["rv", "r", "gv", "g", "var"]
+    counts = long.groupBy(*keys, "val").agg(F.count(F.lit(1)).alias("_n"))
+    # The total per analysis and group is a window over the aggregated counts: one scan
+    # of the data, and a window partition holds one group's distinct answers.
+    j = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     p = F.col("_n") / F.col("_total")
     se = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
     return j.select(
-        F.col("_var").alias("dependent.var"), F.col("_val").alias("dependent.var.value"),
-        F.lit(independent).cast("string").alias("independent.var"),
-        (F.col("_g") if independent else F.lit(None).cast("string")).alias("independent.var.value"),
+        F.col("var").alias("dependent.var"), F.col("val").alias("dependent.var.value"),
+        F.col("gv").alias("independent.var"), F.col("g").alias("independent.var.value"),
         p.alias("numbers"), se.alias("se"),
         F.greatest(F.lit(0.0), p - F.lit(Z_95) * se).alias("min"),
         F.least(F.lit(1.0), p + F.lit(Z_95) * se).alias("max"),
-        F.lit(repeat).cast("string").alias("repeat.var"),
-        (F.col("_r") if repeat else F.lit(None).cast("string")).alias("repeat.var.value"))
+        F.col("rv").alias("repeat.var"), F.col("r").alias("repeat.var.value"))
+
+
+def categorical_shares(df: DataFrame, dependents: Sequence[str], independent: str | None = None,
+                       repeat: str | None = None) -> DataFrame:
+    """Shares of each answer of each dependent column within each group."""
+    return categorical_rows_shares(df, [(d, independent, repeat) for d in dependents])
 
 
 def numeric_means(df: DataFrame, dependents: Sequence[str], independent: str | None = None,
@@ -144,7 +151,8 @@ def numeric_means(df: DataFrame, dependents: Sequence[str], independent: str | N
 
 
 def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
-    """Every plan row, grouped into one job per (independent, repeat, type).
+    """Every categorical plan row in one scan; numerical rows one aggregate per
+    (independent, repeat) pair.
 
     Plan rows naming absent columns are skipped and listed in ``report`` (B13)."""
     rows = plan_rows(plan)
@@ -162,9 +170,12 @@ def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
         if dep not in deps:
             deps.append(dep)
     parts = []
+    cat_rows = [(d, ind, rep) for (ind, rep, kind), deps in buckets.items() if kind == "categorical" for d in deps]
+    if cat_rows:  # every categorical plan row, whatever its grouping, in one scan
+        parts.append(categorical_rows_shares(df, cat_rows).withColumn("is_percent", F.lit(True)))
     for (ind, rep, kind), deps in buckets.items():
-        fn = numeric_means if kind == "numerical" else categorical_shares
-        parts.append(fn(df, deps, ind, rep).withColumn("is_percent", F.lit(kind == "categorical")))
+        if kind == "numerical":
+            parts.append(numeric_means(df, deps, ind, rep).withColumn("is_percent", F.lit(False)))
     if not parts:
         raise ValueError("no plan row names an existing column")
     out = parts[0]

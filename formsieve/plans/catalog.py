@@ -258,16 +258,18 @@ def issue_log(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ lookups and joins
 
 def _stand_in_part_dictionary(spark, sf) -> DataFrame:
-    """A dictionary with repeated codes: part names listed under their type (small
-    parts) and under their brand (large parts), ``ord`` = part key."""
+    """A dictionary with repeated codes (built in one scan): part names listed under
+    their type (small parts) and under their brand (large parts), ``ord`` = part key."""
     p = _t(spark, sf, "part")
-    by_type = p.filter(F.col("p_size") <= 10).select(
-        F.col("p_partkey").alias("ord"), F.lit("p_type").alias("list_name"),
-        F.col("p_type").alias("name"), F.col("p_name").alias("label_english"))
-    by_brand = p.filter(F.col("p_size") > 45).select(
-        F.col("p_partkey").alias("ord"), F.lit("p_brand").alias("list_name"),
-        F.col("p_brand").alias("name"), F.col("p_name").alias("label_english"))
-    return by_type.unionByName(by_brand)
+    size = F.col("p_size")
+    entries = [
+        F.when(size <= 10, F.struct(F.col("p_partkey").alias("ord"), F.lit("p_type").alias("list_name"),
+                                    F.col("p_type").alias("name"), F.col("p_name").alias("label_english"))),
+        F.when(size > 45, F.struct(F.col("p_partkey").alias("ord"), F.lit("p_brand").alias("list_name"),
+                                   F.col("p_brand").alias("name"), F.col("p_name").alias("label_english"))),
+    ]
+    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    return p.select(F.inline_outer(hits)).filter(F.col("list_name").isNotNull())
 
 
 def lookup_first(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,31 +327,30 @@ def dim_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stand_in_correction_log(spark, sf) -> DataFrame:
-    """An edited log over customers: normal changes, a refused change, two entries for
-    one cell, text into a number column, an unknown variable and unknown ids."""
+    """An edited log over customers (built in one scan): normal changes, a refused
+    change, two entries for one cell, text into a number column, an unknown variable
+    and unknown ids."""
     c = _t(spark, sf, "customer")
     k = F.col("c_custkey")
-    sid = k.cast("string")
-
-    def part(cond, variable, new_value, change, n):
-        return c.filter(cond).select(sid.alias("uuid"), F.lit(variable).alias("variable"),
-                                     new_value.alias("new_value"), F.lit(change).alias("change"),
-                                     (k * 10 + n).alias("ord"))
     seg = F.col("c_mktsegment")
-    parts = [
-        part(seg == "BUILDING", "c_acctbal", F.lit("0"), "TRUE", 1),
-        part(F.col("c_acctbal") < 0, "c_mktsegment", F.lit("DEBT"), "yes", 2),
-        part(seg == "FURNITURE", "c_name", F.lit("refused"), "FALSE", 3),
-        part(seg == "HOUSEHOLD", "c_acctbal", F.lit("1"), "TRUE", 4),
-        part(seg == "HOUSEHOLD", "c_acctbal", F.lit("2"), "TRUE", 5),
-        part(seg == "MACHINERY", "c_acctbal", F.lit("abc"), "TRUE", 6),
-        part(seg == "MACHINERY", "c_phone", F.lit("555"), "TRUE", 7),
-        part(seg == "AUTOMOBILE", "c_nationkey", F.lit("99"), "TRUE", 8),
-        c.filter(seg == "AUTOMOBILE").select(F.concat(F.lit("x"), sid).alias("uuid"), F.lit("c_name").alias("variable"),
-                                             F.lit("ghost").alias("new_value"), F.lit("TRUE").alias("change"),
-                                             (k * 10 + 9).alias("ord")),
+
+    def entry(cond, variable, new_value, change, n, uuid=None):
+        return F.when(cond, F.struct((uuid if uuid is not None else k.cast("string")).alias("uuid"),
+                                     F.lit(variable).alias("variable"), F.lit(new_value).alias("new_value"),
+                                     F.lit(change).alias("change"), (k * 10 + n).alias("ord")))
+    entries = [
+        entry(seg == "BUILDING", "c_acctbal", "0", "TRUE", 1),
+        entry(F.col("c_acctbal") < 0, "c_mktsegment", "DEBT", "yes", 2),
+        entry(seg == "FURNITURE", "c_name", "refused", "FALSE", 3),
+        entry(seg == "HOUSEHOLD", "c_acctbal", "1", "TRUE", 4),
+        entry(seg == "HOUSEHOLD", "c_acctbal", "2", "TRUE", 5),
+        entry(seg == "MACHINERY", "c_acctbal", "abc", "TRUE", 6),
+        entry(seg == "MACHINERY", "c_phone", "555", "TRUE", 7),
+        entry(seg == "AUTOMOBILE", "c_nationkey", "99", "TRUE", 8),
+        entry(seg == "AUTOMOBILE", "c_name", "ghost", "TRUE", 9, F.concat(F.lit("x"), k.cast("string"))),
     ]
-    return reshape.union_fill(parts)
+    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    return c.select(F.inline_outer(hits)).filter(F.col("variable").isNotNull())
 
 
 def apply_log(spark: SparkSession, sf: str) -> DataFrame:
