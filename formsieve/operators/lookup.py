@@ -39,17 +39,14 @@ def first_per_code(dictionary: DataFrame, key: str = "name", value: str = "label
 
 def lookup_first(df: DataFrame, key_col: str, dictionary: DataFrame, out_col: str,
                  dict_key: str = "name", dict_value: str = "label_english", ord_col: str = "ord",
-                 list_name: str | None = None, small: bool | None = None,
-                 key_expr: Column | None = None) -> DataFrame:
+                 list_name: str | None = None, key_expr: Column | None = None) -> DataFrame:
     """Add ``out_col`` = first-matching label of ``df[key_col]`` (null when unmatched).
 
-    ``small=True`` asserts the dictionary is bounded metadata and hints a broadcast;
-    otherwise the planner decides from measured sizes."""
+    The join strategy is the planner's: a broadcast only when file statistics or AQE's
+    runtime size of the reduced dictionary are under the threshold, else a shuffle join."""
     d = restrict_list(dictionary, list_name) if list_name is not None else dictionary
     d = first_per_code(d, dict_key, dict_value, ord_col)
     d = d.select(col(dict_key).alias("_lk_key"), col(dict_value).alias(out_col))
-    if small:
-        d = F.broadcast(d)
     k = key_expr if key_expr is not None else col(key_col).cast("string")
     left = df.withColumn("_lk_src", k)
     return left.join(d, left["_lk_src"] == d["_lk_key"], "left").drop("_lk_src", "_lk_key")

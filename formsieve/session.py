@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from runtime sizes (a checked
@@ -22,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of lineage cuts are removed once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -30,7 +33,13 @@ def get_session(app: str = "formsieve", master: str | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    active = SparkSession.getActiveSession()
+    SparkContext._ensure_initialized()
+    launched = SparkConf()  # what spark-submit / spark-defaults already set
     for k, v in DEFAULT_CONF.items():
+        # defaults only: a setting the cluster (or a running session) made is kept
+        if launched.contains(k) or (active is not None and active.conf.get(k, None) is not None):
+            continue
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
