@@ -11,7 +11,7 @@ from formsieve.plans.analysis import Z_95
 
 Z = f"CAST('{Z_95!r}' AS DOUBLE)"
 TAIL = "' ' AS new_value, 'Checked with partner' AS fix, 'ON' AS checked_by"
-TRIM = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+TRIM = "trim({x}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 
 def q(s: str) -> str:
