@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from formsieve.functions.nulls import col
 
 
-# The whitespace set of a regex ``\\s`` (space, tab, newline, vertical
+# The whitespace set of a regex ``\s`` (space, tab, newline, vertical
 # tab, form feed, carriage return).
 WHITESPACE = " \t\n\x0b\f\r"
 
