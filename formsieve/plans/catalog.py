@@ -652,21 +652,33 @@ def site_merge(spark: SparkSession, sf: str) -> DataFrame:
     return icons.select("s_suppkey", "s_name", *[col("@" + c) for c in status_cols], maps.alias("@maps"))
 
 
+CUSTOMER_SCHEMA = T.StructType([
+    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+    T.StructField("c_mktsegment", T.StringType())])
+ADMIN_SCHEMA = T.StructType([
+    T.StructField("admin1Pcode", T.IntegerType()), T.StructField("admin1Name_en", T.StringType()),
+    T.StructField("admin2Pcode", T.IntegerType()), T.StructField("admin2Name_en", T.StringType())])
+
+
 def io_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Nation (parquet) and region (CSV) written as two tables of
-    one run directory dated by argument, under the shared checkpoint folder; read back
-    with declared schemas (nation as a run table, region through the admin-list
-    reader) and joined."""
+    """One run directory dated by argument, under the shared
+    checkpoint folder, holding the customer table (parquet, as a run table) and an
+    admin list (CSV with header, from nation x region); both are read back with
+    declared schemas (the admin list through the UTF-8 admin-list reader) and joined."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/io_roundtrip/{_uuid.uuid4().hex}"
     run_dir = io.dated_path(base, "2026-01-01")
-    io.write_tables({"nation": _t(spark, sf, "nation")}, run_dir)
-    io.write_table(_t(spark, sf, "region"), f"{run_dir}/region", fmt="csv")
-    n = io.read_sheet(spark, run_dir, "nation", T.StructType([
-        T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
-        T.StructField("n_regionkey", T.IntegerType())]))
-    r = io.read_admin_list(spark, f"{run_dir}/region", schema=T.StructType([
-        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]))
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
+    io.write_tables({"responses": _t(spark, sf, "customer")}, run_dir)
+    n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
+    admin = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("r_regionkey").alias("admin1Pcode"), F.col("r_name").alias("admin1Name_en"),
+        F.col("n_nationkey").alias("admin2Pcode"), F.col("n_name").alias("admin2Name_en"))
+    io.write_table(admin, f"{run_dir}/admin_list", fmt="csv")
+    resp = io.read_sheet(spark, run_dir, "responses", CUSTOMER_SCHEMA)
+    adm = io.read_admin_list(spark, f"{run_dir}/admin_list", schema=ADMIN_SCHEMA)
+    return resp.join(adm, resp.c_nationkey == adm.admin2Pcode, "left").select(
+        "c_custkey", "c_name", "c_acctbal", F.col("admin2Name_en").alias("nation_name"),
+        F.col("admin1Name_en").alias("region_name"))
 
 
 QUERIES = {

@@ -474,7 +474,10 @@ SELECT s_suppkey, s_name, i1.path AS "@balance_status", i2.path AS "@nation_stat
        coalesce(CAST(s_nationkey AS VARCHAR), 'NA') || '.pdf' AS "@maps"
 FROM s LEFT JOIN icons i1 ON s.b = i1.status LEFT JOIN icons i2 ON s.n = i2.status"""
 
-IO_ROUNDTRIP = ("SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+IO_ROUNDTRIP = """
+SELECT c_custkey, c_name, c_acctbal, a.n_name AS nation_name, a.r_name AS region_name
+FROM customer LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) a
+  ON c_nationkey = a.n_nationkey"""
 
 ORACLE_SQL = {
     "rule_range": RULE_RANGE,
