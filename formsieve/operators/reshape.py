@@ -68,12 +68,19 @@ def composite_key(*parts, sep: str = ".") -> "Column":
 
 
 def to_merge_table(results: DataFrame, keys: Sequence[str] | None = None,
-                   index: str = "independent.var.value") -> DataFrame:
-    """Long results -> one row per group, one column per ``variable.value``."""
+                   index: str = "independent.var.value", check_unique: bool = True) -> DataFrame:
+    """Long results -> one row per group, one column per ``variable.value``.
+
+    A cell fed by two result rows would silently keep one of them; with
+    ``check_unique`` that is an error (checked on the checkpointed, aggregated results)."""
     r = results.drop(*[c for c in MERGE_DROP if c in results.columns])
     r = r.withColumn("var", composite_key("dependent.var", "dependent.var.value", sep="."))
     if keys is None:
         r, keys = pivot_keys(r, "var")
+    if check_unique:
+        dup = r.groupBy(col(index), "var").count().filter(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"two results for one merge-table cell: {dup[0][0]!r} / {dup[0][1]!r}")
     return spread(r, [index], "var", "numbers", keys)
 
 

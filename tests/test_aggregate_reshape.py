@@ -113,3 +113,12 @@ def test_scoped_result_labels(spark):
     assert rows(out) == [("org", "mdf", "MDF first"), ("org2", "mdf", "MDF second")]
     unscoped = analysis.label_results(res, dictionary_df(spark))
     assert {r[2] for r in unscoped.collect()} == {"MDF first"}
+
+
+def test_merge_table_rejects_duplicate_cells(spark):
+    import pytest
+    res = spark.createDataFrame([("q", "a", "G1", 0.25), ("q", "a", "G1", 0.5)],
+                                "`dependent.var` string, `dependent.var.value` string, `independent.var.value` string, "
+                                "numbers double")
+    with pytest.raises(ValueError):
+        reshape.to_merge_table(res)
