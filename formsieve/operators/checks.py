@@ -279,7 +279,9 @@ def assemble_log(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def rules_from_spec(spec: Mapping[str, Mapping]) -> list[Rule]:
-    """Rules from plain data: ``{rule_id: {predicate: sql, variable, issue, old_value}}``."""
+    """Rules from plain data: ``{rule_id: {predicate: sql, variable, issue, old_value}}``.
+
+    ``old_value`` names a column; with ``old_value_is_expr: True`` it is a SQL expression."""
     out = []
     for rid, s in spec.items():
         ov = s.get("old_value")

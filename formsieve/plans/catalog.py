@@ -407,8 +407,8 @@ def _stand_in_batches(spark, sf):
 
 
 def append_new(spark: SparkSession, sf: str) -> DataFrame:
-    """New rows of two batches (anti-join on the key), stacked by
-    name onto a template, appended to the master."""
+    """New rows of two batches (anti-join on the key), stacked by
+    name onto an empty template that fixes order and types, appended to the master."""
     o, master, b1, b2 = _stand_in_batches(spark, sf)
     new = reshape.union_fill([joins.new_rows_only(b1, master, "o_orderkey"),
                               joins.new_rows_only(b2, master, "o_orderkey")])
@@ -587,8 +587,8 @@ def drop_policy(spark: SparkSession, sf: str) -> DataFrame:
     """Range select, policy drop, V1 -> V2 renames."""
     c = _t(spark, sf, "customer")
     r = cols.select_range(c, "c_name", "c_acctbal", keep=["c_custkey", "c_mktsegment"])
-    r = cols.apply_policy(r, CUSTOMER_POLICIES, "external")
-    r = cols.drop_cols(r, ["c_nationkey_unused"])
+    r = cols.apply_policy(r, CUSTOMER_POLICIES, "external")  # names absent from the table are ignored
+    r = cols.drop_cols(r, ["c_nationkey"])                   # P6: one column
     return cols.rename_cols(r, CUSTOMER_V1_TO_V2)
 
 

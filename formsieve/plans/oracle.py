@@ -445,7 +445,7 @@ SELECT * FROM res WHERE "dependent.var" IN ('l_returnflag', 'l_linenumber') AND
 
 # ------------------------------------------------------------------ columns and text
 
-DROP_POLICY = ("SELECT c_custkey, c_mktsegment AS segment, c_name AS customer_name, c_nationkey FROM customer")
+DROP_POLICY = ("SELECT c_custkey, c_mktsegment AS segment, c_name AS customer_name FROM customer")
 
 REORDER = ("SELECT CAST(o_orderkey AS VARCHAR) AS uuid, o_orderpriority AS \"@o_orderpriority\", o_custkey, "
            "o_orderkey, o_orderstatus, o_totalprice FROM orders")

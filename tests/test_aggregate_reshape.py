@@ -122,3 +122,12 @@ def test_merge_table_rejects_duplicate_cells(spark):
                                 "numbers double")
     with pytest.raises(ValueError):
         reshape.to_merge_table(res)
+
+
+def test_strict_union_and_stack(spark):
+    import pytest
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([("y", 2)], "v string, k int")
+    assert rows(reshape.stack([a, b])) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError):
+        reshape.union_strict([a, spark.createDataFrame([(1,)], "k int")])
