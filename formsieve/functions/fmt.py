@@ -61,6 +61,6 @@ def blank_interval(results: DataFrame) -> DataFrame:
     return results.withColumns({"min": F.lit(None).cast("double"), "max": F.lit(None).cast("double")})
 
 
-def map_path(name, prefix: str = "./maps/YEM_CCCM_", suffix: str = ".pdf") -> Column:
-    """report map path from a name; a null name prints as ``NA``."""
+def map_path(name, prefix: str, suffix: str) -> Column:
+    """report map path ``prefix + name + suffix``; a null name prints as ``NA``."""
     return paste(prefix, col(name), suffix)

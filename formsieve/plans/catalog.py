@@ -648,7 +648,7 @@ def site_merge(spark: SparkSession, sf: str) -> DataFrame:
     filled = status.fillna("not_applicable", subset=status_cols)
     icons = lookup.map_values(filled, status_cols, STATUS_ICONS)
     icons = cols.prefix_headers(icons, "@", status_cols)
-    maps = paste("./merge/test maps/YEM_CCCM_", trim_ws("s_name"), "__", F.col("s_nationkey"), ".pdf")
+    maps = paste(survey.SITE_MAP_PREFIX, trim_ws("s_name"), "__", F.col("s_nationkey"), survey.SITE_MAP_SUFFIX)
     return icons.select("s_suppkey", "s_name", *[col("@" + c) for c in status_cols], maps.alias("@maps"))
 
 

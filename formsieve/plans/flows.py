@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formsieve.functions.fmt import map_path, pct100
-from formsieve.functions.nulls import col, fill_values, join_on, na_if_else, strict_sum
+from formsieve.functions.nulls import col, fill_values, join_on, na_if_else, paste, strict_sum
 from formsieve.functions.text import replace_all, to_number, trim_ws
 from formsieve.operators import aggregate as agg
 from formsieve.operators import checks
@@ -190,6 +190,8 @@ def indicators(master: DataFrame, choices: DataFrame, external_choices: DataFram
     external = joins.join_chain([totals] + mode_frames, "governorate")
 
     labelled = cols.reorder_columns(df, [("uuid", "first")])
+    # The grouping column keeps its text even when it falls inside the labelled range:
+    # relabelling it would null the groups the plan is run by.
     rng = [c for c in cols.column_slice(labelled, label_first, label_last) if c != group_col]
     labelled = lookup.label_columns(labelled, rng, choices, id_col="uuid")
     results = analysis.run_plan(labelled, plan)
@@ -198,21 +200,23 @@ def indicators(master: DataFrame, choices: DataFrame, external_choices: DataFram
     wide = fill_values(wide.withColumns({c: pct100(c) for c in value_cols}), 0.0, value_cols)
     wide = wide.withColumnRenamed("independent.var.value", "governorate")
     merged = join_on(wide, external, "governorate", "left")
-    merged = merged.withColumn("@map", map_path("governorate"))
+    merged = merged.withColumn("@map", map_path("governorate", survey.GROUP_MAP_PREFIX, survey.GROUP_MAP_SUFFIX))
     return cols.lower_headers(merged)
 
 
 def site_merge_table(responses: DataFrame, choices: DataFrame, label_cols: Sequence[str],
                      keep_cols: Sequence[str]) -> DataFrame:
-    """Per-site merge: service status icons, labelled answers, kept columns, map path."""
+    """Per-site merge in one projection: labelled answers (``*_other`` columns dropped),
+    kept columns (site name trimmed), service status icons as ``@`` columns, a map path
+    and an empty site-code column."""
     services = cols.column_range(responses, survey.SERVICE_FIRST, survey.SERVICE_LAST)
     filled = fill_values(responses, "not_applicable", services)
     icons = lookup.map_values(filled, services, survey.STATUS_ICONS)
     icons = cols.prefix_headers(icons, "@", services)
-    labelled = lookup.label_columns(icons, [c for c in label_cols if not c.lower().endswith("_other")], choices,
-                                    id_col="uuid")
-    path = F.concat(F.lit("./merge/test maps/YEM_CCCM_"), F.coalesce(trim_ws("a4_site_name"), F.lit("NA")),
-                    F.lit("__"), F.coalesce(col("a3_sub_district_code").cast("string"), F.lit("NA")), F.lit(".pdf"))
-    out_cols = [col(c) for c in label_cols] + [col(c) for c in keep_cols] + [col("@" + s) for s in services]
-    return labelled.select(*out_cols, trim_ws("a4_site_name").alias("a4_site_name_trim"), path.alias("@maps"),
-                           F.lit(None).cast("string").alias("a4_site_code"))
+    labelled_cols = [c for c in label_cols if not c.lower().endswith("_other")]
+    labelled = lookup.label_columns(icons, labelled_cols, choices)
+    path = paste(survey.SITE_MAP_PREFIX, trim_ws("a4_site_name"), "__", col("a3_sub_district_code"),
+                 survey.SITE_MAP_SUFFIX)
+    kept = [trim_ws(c).alias(c) if c == "a4_site_name" else col(c) for c in keep_cols]
+    return labelled.select(*[col(c) for c in labelled_cols], *kept, *[col("@" + s) for s in services],
+                           path.alias("@maps"), F.lit(None).cast("string").alias("a4_site_code"))

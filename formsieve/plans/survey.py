@@ -122,6 +122,11 @@ LEGACY_LATRINE, LEGACY_LATRINE_TARGET = "open_air", "open_defecation"
 STATUS_ICONS = {"not_applicable": "./merge/grey.png", "inadequate": "./merge/red.png",
                 "non_existent": "./merge/grey.png", "adequate": "./merge/green.png"}
 
+# Map-file path formats: per group (prefix + name + suffix) and per site
+# (prefix + site name + "__" + sub-district code + suffix).
+GROUP_MAP_PREFIX, GROUP_MAP_SUFFIX = "./maps/YEM_CCCM_", ".pdf"
+SITE_MAP_PREFIX, SITE_MAP_SUFFIX = "./merge/test maps/YEM_CCCM_", ".pdf"
+
 # Site-code range for sites without a code.
 FIRST_SITE_NUMBER, LAST_SITE_NUMBER = 1185, 5000
 

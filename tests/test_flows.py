@@ -99,8 +99,9 @@ def test_update_checks(spark):
 
 def test_site_merge_table(spark):
     resp = responses_df(spark).withColumn("a3_sub_district_code", F.col("a3_sub_district"))
-    out = flows.site_merge_table(resp, dictionary_df(spark), ["c1_type_of_site", "b1_site_management"],
+    out = flows.site_merge_table(resp, dictionary_df(spark), ["c1_type_of_site", "b1_site_management", "x_other"],
                                  ["a1_governorate_name", "a4_site_name"])
-    assert "@food_distribution" in out.columns and "@maps" in out.columns
+    assert "@food_distribution" in out.columns and "@maps" in out.columns and "x_other" not in out.columns
+    assert out.filter(F.col("a4_site_name") != F.trim("a4_site_name")).count() == 0
     icons = {r[0] for r in out.select("@food_distribution").collect()}
     assert icons <= set(survey.STATUS_ICONS.values())
