@@ -42,9 +42,10 @@ def global_rank(df: DataFrame, order: Sequence, out_col: str = "rn",
 
     Strings in ``order`` sort ascending with nulls first; Columns are used as given."""
     exprs = _sort_exprs(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *exprs).sortWithinPartitions(*exprs)
+    # Without an explicit count AQE sizes the range partitions from the data (a few
+    # for a few thousand new sites, many at scale); an explicit count is kept as given.
+    ranged = (df.repartitionByRange(num_partitions, *exprs) if num_partitions
+              else df.repartitionByRange(*exprs)).sortWithinPartitions(*exprs)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(),
                                  "_mid": F.monotonically_increasing_id()})
     tagged = materialize(tagged)
