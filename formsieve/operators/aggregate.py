@@ -133,6 +133,16 @@ def any_not_null(df: DataFrame, group: Sequence[str], cols: Sequence[str]) -> Da
         *[F.bool_or(col(c).isNotNull()).alias(f"has_{c.replace('.', '_')}") for c in cols])
 
 
+def multiple_response_by_prefix(df: DataFrame, question: str, group: str | None = None) -> DataFrame:
+    """D11 by question: the option columns are those named ``<question>.<option>``; the
+    ``question`` column is the option name."""
+    prefix = question + "."
+    options = [c for c in df.columns if c.startswith(prefix)]
+    if not options:
+        raise ValueError(f"no option columns for {question!r}")
+    return multiple_response(df, options, group, [c[len(prefix):] for c in options])
+
+
 def multiple_response(df: DataFrame, options: Sequence[str], group: str | None = None,
                       option_names: Sequence[str] | None = None) -> DataFrame:
     """Per option the number of non-zero answers, percent of all responses and
