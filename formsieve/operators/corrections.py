@@ -46,11 +46,15 @@ def apply_log(df: DataFrame, log: DataFrame, id_col: str = "uuid", variable: str
 
     Unknown ids and unknown variables change nothing; a value that does not parse as the
     column's type becomes null (``try_cast``); an empty log is the identity."""
-    entries = reduce_log(log, id_col, variable, new_value, change_col, ord_col)
+    targets = [c for c in (columns or df.columns) if c != id_col and c in df.columns]
+    # Only entries for real columns are folded, so one id's map is bounded by the
+    # schema width however many junk variable names a log holds (those are reported by
+    # ``unapplied_entries``).
+    entries = reduce_log(log, id_col, variable, new_value, change_col, ord_col) \
+        .filter(col(variable).isin(targets))
     per_id = entries.groupBy(id_col).agg(
         F.map_from_entries(F.collect_list(F.struct(col(variable), col(new_value)))).alias("_fixes"))
     per_id = per_id.withColumnRenamed(id_col, "_fix_id")
-    targets = [c for c in (columns or df.columns) if c != id_col and c in df.columns]
     j = df.join(per_id, col(id_col).cast("string") == F.col("_fix_id"), "left")
     m = F.col("_fixes")
     updates = {}

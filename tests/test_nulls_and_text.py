@@ -83,3 +83,19 @@ def test_format_percent_and_interval(spark):
                                "n double, lo double, hi double, p boolean, h boolean")
     out = [r[0] for r in df.select(format_result("n", "lo", "hi", F.col("p"), F.col("h"))).collect()]
     assert out == ["45% (40%-50%)", "0%", "12.35 ", "0"]
+
+
+def test_left_join_multiplies_rows(spark):  # point 4
+    from formsieve.operators import joins
+    admin = spark.createDataFrame([("YE11", "Ibb", "YE1101", "A"), ("YE11", "Ibb ", "YE1102", "B")],
+                                  "admin1Pcode string, admin1Name_en string, admin2Pcode string, admin2Name_en string")
+    df = spark.createDataFrame([("u1", "YE11")], "uuid string, a1 string")
+    out = joins.add_admin_names(df, admin, [("admin1Pcode", "admin1Name_en", "a1", "gov")])
+    assert out.count() == 2  # one code, two distinct names
+
+
+def test_na_fill_only_numeric_result_columns(spark):  # point 10
+    from formsieve.functions.nulls import fill_values
+    df = spark.createDataFrame([("G1", None, None)], "g string, x double, label string")
+    out = fill_values(df, 0.0, ["x"]).first()
+    assert out["x"] == 0.0 and out["label"] is None
