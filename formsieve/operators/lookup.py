@@ -61,15 +61,54 @@ def literal_map(pairs: Mapping[str, str] | Sequence[tuple]) -> Column:
     return F.create_map(*flat) if flat else F.create_map().cast("map<string,string>")
 
 
+# Dictionaries up to this size stay one flat map; larger ones are split into hash
+# buckets (a map of small maps), because a map lookup scans its keys one by one.
+FLAT_MAP_ENTRIES = 32
+
+
 def dictionary_map(dictionary: DataFrame, key: str = "name", value: str = "label_english",
                    ord_col: str = "ord", max_entries: int = MAX_LITERAL_ENTRIES) -> Column | None:
-    """The first-match dictionary as one literal map, or ``None`` when it is larger than
-    ``max_entries``.  One bounded job: at most ``max_entries + 1`` rows reach the driver."""
+    """The first-match dictionary as one flat literal map, or ``None`` when it is larger
+    than ``max_entries``.  One bounded job: at most ``max_entries + 1`` rows reach the
+    driver."""
+    pairs = _dictionary_pairs(dictionary, key, value, ord_col, max_entries)
+    return None if pairs is None else literal_map(pairs)
+
+
+def _dictionary_pairs(dictionary, key, value, ord_col, max_entries):
     d = first_per_code(dictionary, key, value, ord_col)
     rows = d.select(col(key).cast("string"), col(value).cast("string")).limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
+    return None if len(rows) > max_entries else [(r[0], r[1]) for r in rows]
+
+
+def dictionary_lookup(dictionary: DataFrame, key: str = "name", value: str = "label_english",
+                      ord_col: str = "ord", max_entries: int = MAX_LITERAL_ENTRIES):
+    """A function ``text column -> label column`` over the first-match dictionary, as
+    literal expressions (no join), or ``None`` when the dictionary exceeds
+    ``max_entries``.
+
+    Spark finds a key in a map by scanning its keys, so a large dictionary is split into
+    about sqrt(n) buckets by ``xxhash64`` of the code: a lookup scans one bucket list and
+    one small map, ~2*sqrt(n) comparisons instead of n.  Bucket ids are computed by
+    Spark's own hash, on the collected pairs, so driver and executors agree."""
+    pairs = _dictionary_pairs(dictionary, key, value, ord_col, max_entries)
+    if pairs is None:
         return None
-    return literal_map([(r[0], r[1]) for r in rows])
+    if len(pairs) <= FLAT_MAP_ENTRIES:
+        flat = literal_map(pairs)
+        return lambda text: F.try_element_at(flat, text)
+    n_buckets = max(2, int(round(len(pairs) ** 0.5)))
+    spark = dictionary.sparkSession
+    tagged = spark.createDataFrame(pairs, "k string, v string") \
+        .select("k", "v", F.pmod(F.xxhash64("k"), F.lit(n_buckets)).alias("b")).collect()
+    buckets: dict[int, list] = {}
+    for r in tagged:
+        buckets.setdefault(int(r["b"]), []).append((r["k"], r["v"]))
+    nested = F.create_map(*[x for b, kv in sorted(buckets.items()) for x in (F.lit(b), literal_map(kv))])
+
+    def lookup(text: Column) -> Column:
+        return F.try_element_at(F.try_element_at(nested, F.pmod(F.xxhash64(text), F.lit(n_buckets))), text)
+    return lookup
 
 
 def _cell_text(df: DataFrame, c: str) -> Column:
@@ -83,17 +122,17 @@ def label_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
     """Every cell of ``cols`` replaced by its first-match label; unmatched -> null
     (or, with ``keep_unmatched``, the cell's own text).
 
-    Bounded dictionary: one literal map, one ``try_element_at`` per column, all inside
+    Bounded dictionary: literal (hash-bucketed) maps, one lookup per column, all inside
     the scan's codegen stage (no join).  Larger dictionary: unpivot -> one join ->
     pivot back (``label_columns_join``).  ``id_col`` is accepted for compatibility; the
     join path numbers rows itself, so duplicated ids cannot mix labels."""
-    m = dictionary_map(dictionary, key, value, ord_col, max_entries)
-    if m is None:
+    lookup = dictionary_lookup(dictionary, key, value, ord_col, max_entries)
+    if lookup is None:
         return label_columns_join(df, cols, dictionary, key, value, ord_col, keep_unmatched)
 
     def label(c):
         text = _cell_text(df, c)
-        hit = F.try_element_at(m, text)
+        hit = lookup(text)
         return F.coalesce(hit, text) if keep_unmatched else hit
     return df.withColumns({c: label(c) for c in cols})
 

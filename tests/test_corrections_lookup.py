@@ -127,3 +127,19 @@ def test_sort_nulls_first_is_stable(spark):
     df = spark.createDataFrame([(None, "b", 1), ("x", None, 2), (None, "a", 3), (None, "a", 0)],
                                "code string, name string, o int")
     assert [r.o for r in sort_nulls_first(df, ["code", "name"], "o").collect()] == [0, 3, 1, 2]
+
+
+def test_bucketed_dictionary_equals_flat(spark):
+    import random
+    rnd = random.Random(2)
+    codes = [f"c{i}_{rnd.randint(0, 999)}" for i in range(300)] + ["1", "0"]
+    d = spark.createDataFrame([(i, "l", c, f"L{i}") for i, c in enumerate(codes)] + [(999, "l", "c0_" , "dup")],
+                              "ord long, list_name string, name string, label_english string")
+    cells = spark.createDataFrame([(c,) for c in codes[::7]] + [("zzz",), (None,)], "a string") \
+        .withColumn("n", F.lit(1.0))
+    bucketed = lookup.dictionary_lookup(d)
+    flat = lookup.dictionary_map(d)
+    out = cells.select(bucketed(F.col("a")).alias("b"), F.try_element_at(flat, F.col("a")).alias("f")).collect()
+    assert all(r.b == r.f for r in out) and sum(r.b is not None for r in out) == len(codes[::7])
+    # numbers match their integral text
+    assert cells.select(bucketed(F.lit("1"))).first()[0] == "L300"
