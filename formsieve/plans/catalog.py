@@ -215,14 +215,14 @@ def dup_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stand_in_interviews(spark, sf) -> DataFrame:
     """Events as interviews: start = event time, end = start + ``value`` minutes (whole
-    seconds), both as ISO text with an offset suffix, as forms record them."""
+    seconds), both as ISO text with an offset suffix, as forms record them.  The times
+    stay wall-clock (``timestamp_ntz``), so no session time zone enters."""
     e = _t(spark, sf, "events")
-    ts = F.col("ts").cast("timestamp")
-    end_us = F.unix_micros(ts) + F.floor(F.col("value") * 60) * 1_000_000
+    ts = F.col("ts").cast("timestamp_ntz")
+    end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60), ts)
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS'+03:00'"
-    return e.select(F.col("event_id").alias("uuid"),
-                    F.date_format(ts, fmt).alias("start"),
-                    F.date_format(F.timestamp_micros(end_us), fmt).alias("end"))
+    return e.select(F.col("event_id").alias("uuid"), F.date_format(ts, fmt).alias("start"),
+                    F.date_format(end, fmt).alias("end"))
 
 
 def duration_check(spark: SparkSession, sf: str) -> DataFrame:
