@@ -51,14 +51,17 @@ def get_session(app: str = "formsieve", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder.  Read from the session; only when the cluster
-    leaves it unset (local tests) a scratch folder is chosen."""
+    """The shared checkpoint folder.  Read from the session; only a local-mode session
+    (tests) without one gets a scratch folder - a cluster must name a shared folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: lineage cuts need a shared folder "
+                               "that every executor and the driver can read")
         conf_dir = tempfile.mkdtemp(prefix="formsieve-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

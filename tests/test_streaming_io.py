@@ -81,3 +81,26 @@ def test_site_master_reader_trims(spark):
     d = tempfile.mkdtemp(prefix="formsieve-master-")
     spark.createDataFrame([(" Camp A\t", "C1")], "`site.name` string, `new.code` string").write.parquet(f"{d}/m")
     assert [tuple(r) for r in io.read_site_master(spark, f"{d}/m").collect()] == [("Camp A", "C1")]
+
+
+def test_checkpoint_dir_needs_a_shared_folder_off_local_mode():
+    import pytest
+
+    from formsieve.session import checkpoint_dir
+
+    class _Ctx:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session())
