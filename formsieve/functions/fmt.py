@@ -56,9 +56,11 @@ def format_results(results: DataFrame, analysis_keys: list[str], is_percent_col:
                                                      F.col("has_confints"), max_digits_non_percent))
 
 
-def blank_interval(results: DataFrame) -> DataFrame:
-    """``min`` and ``max`` set to null."""
-    return results.withColumns({"min": F.lit(None).cast("double"), "max": F.lit(None).cast("double")})
+def blank_interval(results: DataFrame, where: Column | None = None) -> DataFrame:
+    """``min`` and ``max`` set to null (only on the rows where ``where`` holds, if given)."""
+    if where is None:
+        return results.withColumns({"min": F.lit(None).cast("double"), "max": F.lit(None).cast("double")})
+    return results.withColumns({c: F.when(~where, F.col(c)) for c in ("min", "max")})
 
 
 def map_path(name, prefix: str, suffix: str) -> Column:

@@ -2,7 +2,7 @@
 
 A plan is metadata: a few dozen rows naming a grouping column and dependent columns.
 The plan rows are read on the driver (bounded by the plan, not the data) and turned
-into one scan for all categorical rows: each plan row becomes a struct per data row,
+into one scan for all plan rows: each plan row becomes a struct per data row,
 exploded in the scan's codegen stage and counted with one partial aggregate - all
 indicators in one scan and one small shuffle, instead of one pass per indicator.
 Totals are windows over the aggregated counts.
@@ -82,39 +82,64 @@ def _value_text(df: DataFrame, c: str):
     return num_to_text(c, df.schema[c].dataType)
 
 
-def categorical_rows_shares(df: DataFrame, rows: Sequence[tuple[str, str | None, str | None]]) -> DataFrame:
-    """D8 (+ D10, D17, N5) for many plan rows in ONE scan.
-
-    Each plan row ``(dependent, independent, repeat)`` becomes one struct per data row
-    (its repeat value, group value and answer); the structs are exploded inside the
-    scan's stage and counted with one partial aggregate keyed by (repeat var, repeat
-    value, group var, group value, variable, answer).  The total per analysis and group
-    is a window over those aggregated counts.  Null answers and null groups are left
-    out of counts and totals."""
+def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, str | None]],
+                      num_rows: Sequence[tuple[str, str | None, str | None]] = ()) -> DataFrame:
+    """D8 + D9 (+ D10, D17, N5) for many plan rows, categorical and numerical, in ONE
+    scan and ONE shuffle.
+
+    Each plan row ``(dependent, independent, repeat)`` becomes one struct per data row:
+    its kind, repeat value, group value, and the answer (categorical) or the number
+    (numerical).  The structs are exploded inside the scan's stage and reduced by one
+    partial aggregate keyed by (kind, repeat var, repeat value, group var, group value,
+    variable, answer) that counts rows and takes the mean and sample sd of the number.
+    A categorical share divides by the total per analysis and group - a window over the
+    aggregated counts; a numerical row is already its group's mean, ``se = sd/sqrt(n)``.
+    Null answers / numbers and null groups are left out of counts and totals.
+    Output: :data:`RESULT_COLUMNS` + ``is_percent``."""
     def text(c):
         return _value_text(df, c) if c else F.lit(None).cast("string")
-    structs = [F.struct(F.lit(rep).cast("string").alias("rv"), text(rep).alias("r"),
+
+    def entry(kind, dep, ind, rep):
+        numeric = kind == "n"
+        return F.struct(F.lit(kind).alias("k"),
+                        F.lit(rep).cast("string").alias("rv"), text(rep).alias("r"),
                         F.lit(ind).cast("string").alias("gv"), text(ind).alias("g"),
-                        F.lit(dep).alias("var"), text(dep).alias("val"))
-               for dep, ind, rep in rows]
+                        F.lit(dep).alias("var"),
+                        (F.lit(None).cast("string") if numeric else text(dep)).alias("val"),
+                        (to_number(dep) if numeric else F.lit(None).cast("double")).alias("x"))
+
+    structs = [entry("c", *r) for r in cat_rows] + [entry("n", *r) for r in num_rows]
     long = df.select(F.inline(F.array(*structs)))
-    long = long.filter(F.col("val").isNotNull()
+    present = F.when(F.col("k") == "n", F.col("x").isNotNull()).otherwise(F.col("val").isNotNull())
+    long = long.filter(present
                        & (F.col("gv").isNull() | F.col("g").isNotNull())
                        & (F.col("rv").isNull() | F.col("r").isNotNull()))
-    keys = ["rv", "r", "gv", "g", "var"]
-    counts = long.groupBy(*keys, "val").agg(F.count(F.lit(1)).alias("_n"))
+    keys = ["k", "rv", "r", "gv", "g", "var"]
+    counts = long.groupBy(*keys, "val").agg(F.count(F.lit(1)).alias("_n"), F.avg("x").alias("_m"),
+                                            F.stddev_samp("x").alias("_sd"))
     # The total per analysis and group is a window over the aggregated counts: one scan
     # of the data, and a window partition holds one group's distinct answers.
     j = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    share = F.col("k") == "c"
     p = F.col("_n") / F.col("_total")
-    se = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
+    se_p = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
+    se_m = F.col("_sd") / F.sqrt(F.col("_n"))
     return j.select(
         F.col("var").alias("dependent.var"), F.col("val").alias("dependent.var.value"),
         F.col("gv").alias("independent.var"), F.col("g").alias("independent.var.value"),
-        p.alias("numbers"), se.alias("se"),
-        F.greatest(F.lit(0.0), p - F.lit(Z_95) * se).alias("min"),
-        F.least(F.lit(1.0), p + F.lit(Z_95) * se).alias("max"),
-        F.col("rv").alias("repeat.var"), F.col("r").alias("repeat.var.value"))
+        F.when(share, p).otherwise(F.col("_m")).alias("numbers"),
+        F.when(share, se_p).otherwise(se_m).alias("se"),
+        F.when(share, F.greatest(F.lit(0.0), p - F.lit(Z_95) * se_p))
+         .otherwise(F.col("_m") - F.lit(Z_95) * se_m).alias("min"),
+        F.when(share, F.least(F.lit(1.0), p + F.lit(Z_95) * se_p))
+         .otherwise(F.col("_m") + F.lit(Z_95) * se_m).alias("max"),
+        F.col("rv").alias("repeat.var"), F.col("r").alias("repeat.var.value"),
+        share.alias("is_percent"))
+
+
+def categorical_rows_shares(df: DataFrame, rows: Sequence[tuple[str, str | None, str | None]]) -> DataFrame:
+    """D8 for many categorical plan rows in one scan (see :func:`plan_rows_results`)."""
+    return plan_rows_results(df, rows).drop("is_percent")
 
 
 def categorical_shares(df: DataFrame, dependents: Sequence[str], independent: str | None = None,
@@ -151,8 +176,7 @@ def numeric_means(df: DataFrame, dependents: Sequence[str], independent: str | N
 
 
 def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
-    """Every categorical plan row in one scan; numerical rows one aggregate per
-    (independent, repeat) pair.
+    """Every plan row, categorical or numerical, in one scan and one shuffle.
 
     Plan rows naming absent columns are skipped and listed in ``report`` (B13)."""
     rows = plan_rows(plan)
@@ -169,19 +193,11 @@ def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
         deps = buckets.setdefault((ind, rep, kind), [])
         if dep not in deps:
             deps.append(dep)
-    parts = []
     cat_rows = [(d, ind, rep) for (ind, rep, kind), deps in buckets.items() if kind == "categorical" for d in deps]
-    if cat_rows:  # every categorical plan row, whatever its grouping, in one scan
-        parts.append(categorical_rows_shares(df, cat_rows).withColumn("is_percent", F.lit(True)))
-    for (ind, rep, kind), deps in buckets.items():
-        if kind == "numerical":
-            parts.append(numeric_means(df, deps, ind, rep).withColumn("is_percent", F.lit(False)))
-    if not parts:
+    num_rows = [(d, ind, rep) for (ind, rep, kind), deps in buckets.items() if kind == "numerical" for d in deps]
+    if not cat_rows and not num_rows:
         raise ValueError("no plan row names an existing column")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return plan_rows_results(df, cat_rows, num_rows)
 
 
 # ---------------------------------------------------------------- D16 automatic plan

@@ -566,11 +566,10 @@ def merge_confints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def format_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    """Result text such as ``45% (40%-50%)``; the numeric results
-    have their interval blanked first, so they print without one."""
-    shares = _shares(spark, sf, PLAN_SHARES)
-    means = blank_interval(_shares(spark, sf, PLAN_NUMERIC))
-    res = shares.unionByName(means)
+    """Result text such as ``45% (40%-50%)``; both plans run in
+    one scan, and the numeric results have their interval blanked, so they print
+    without one."""
+    res = blank_interval(_shares(spark, sf, PLAN_SHARES + PLAN_NUMERIC), where=~F.col("is_percent"))
     f = format_results(res, ["dependent.var", "independent.var"])
     return cols.select_cols(f, ["dependent.var", "dependent.var.value", "independent.var.value", "formatted"])
 

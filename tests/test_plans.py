@@ -86,3 +86,28 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_rule_set_is_one_scan_without_shuffle(spark):
     plan = physical(QUERIES["rule_range"](spark, SF))
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_mixed_plan_is_one_scan_and_one_shuffle(spark, skewed):
+    plan = [{"dependent.variable": "cat", "dependent.variable.type": "categorical", "independent.variable": "k"},
+            {"dependent.variable": "o", "dependent.variable.type": "numerical", "independent.variable": "k"},
+            {"dependent.variable": "o", "dependent.variable.type": "numerical", "independent.variable": "w"},
+            {"dependent.variable": "w", "dependent.variable.type": "numerical"}]
+    res = analysis.run_plan(skewed, plan)
+    p = physical(res)
+    assert p.count("Range (") == 1, p
+    # one partial aggregate over the raw rows; every exchange carries aggregated rows
+    assert p.count("partial_count(1)") == 1, p
+    lines = p.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange " in line:
+            below = lines[i + 1:]
+            src = next(j for j, l in enumerate(below) if "Range (" in l)
+            assert any("HashAggregate" in l for l in below[:src]), p
+    assert windows_only_above_aggregates(p), p
+    # the numerical rows equal the stand-alone mean operator, the hot group included
+    got = {(r[0], r[1]): round(r[2], 9) for r in res.filter(~F.col("is_percent")).filter(F.col("`independent.var`") == "k")
+           .select("`dependent.var`", "`independent.var.value`", "numbers").collect()}
+    want = {(r[0], r[1]): round(r[2], 9) for r in analysis.numeric_means(skewed, ["o"], "k")
+            .select("`dependent.var`", "`independent.var.value`", "numbers").collect()}
+    assert got == want and len(got) == 98
