@@ -85,55 +85,67 @@ def _value_text(df: DataFrame, c: str):
 def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, str | None]],
                       num_rows: Sequence[tuple[str, str | None, str | None]] = ()) -> DataFrame:
     """D8 + D9 (+ D10, D17, N5) for many plan rows, categorical and numerical, in ONE
-    scan and ONE shuffle.
-
-    Each plan row ``(dependent, independent, repeat)`` becomes one struct per data row:
-    its kind, repeat value, group value, and the answer (categorical) or the number
-    (numerical).  The structs are exploded inside the scan's stage and reduced by one
-    partial aggregate keyed by (kind, repeat var, repeat value, group var, group value,
-    variable, answer) that counts rows and takes the mean and sample sd of the number.
-    A categorical share divides by the total per analysis and group - a window over the
-    aggregated counts; a numerical row is already its group's mean, ``se = sd/sqrt(n)``.
-    Null answers / numbers and null groups are left out of counts and totals.
+    scan and ONE partial aggregate.
+
+    Each plan row ``(dependent, independent, repeat)`` gets a number; per data row it
+    yields one struct (row number, repeat value, group value, and the answer for a
+    categorical row or the number for a numerical one), kept when the value and the
+    group are present.  The structs are exploded inside the scan's stage and reduced by one
+    partial aggregate keyed by (row number, repeat value, group value, answer): a count,
+    plus mean and sample sd of the number when the plan has numerical rows.  Only then
+    are the row numbers mapped back to their names (a literal array lookup on aggregated
+    rows).  A categorical share divides by the total per plan row and group - a window
+    over the aggregated counts; a numerical row is its group's mean, ``se = sd/sqrt(n)``.
     Output: :data:`RESULT_COLUMNS` + ``is_percent``."""
     def text(c):
         return _value_text(df, c) if c else F.lit(None).cast("string")
 
-    def entry(kind, dep, ind, rep):
-        numeric = kind == "n"
-        return F.struct(F.lit(kind).alias("k"),
-                        F.lit(rep).cast("string").alias("rv"), text(rep).alias("r"),
-                        F.lit(ind).cast("string").alias("gv"), text(ind).alias("g"),
-                        F.lit(dep).alias("var"),
-                        (F.lit(None).cast("string") if numeric else text(dep)).alias("val"),
-                        (to_number(dep) if numeric else F.lit(None).cast("double")).alias("x"))
-
-    structs = [entry("c", *r) for r in cat_rows] + [entry("n", *r) for r in num_rows]
-    long = df.select(F.inline(F.array(*structs)))
-    present = F.when(F.col("k") == "n", F.col("x").isNotNull()).otherwise(F.col("val").isNotNull())
-    long = long.filter(present
-                       & (F.col("gv").isNull() | F.col("g").isNotNull())
-                       & (F.col("rv").isNull() | F.col("r").isNotNull()))
-    keys = ["k", "rv", "r", "gv", "g", "var"]
-    counts = long.groupBy(*keys, "val").agg(F.count(F.lit(1)).alias("_n"), F.avg("x").alias("_m"),
-                                            F.stddev_samp("x").alias("_sd"))
-    # The total per analysis and group is a window over the aggregated counts: one scan
-    # of the data, and a window partition holds one group's distinct answers.
-    j = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    share = F.col("k") == "c"
+    specs = [("c", *r) for r in dict.fromkeys(map(tuple, cat_rows))] + \
+            [("n", *r) for r in dict.fromkeys(map(tuple, num_rows))]
+    has_num = any(k == "n" for k, *_ in specs)
+    has_cat = any(k == "c" for k, *_ in specs)
+    entries = []
+    for i, (kind, dep, ind, rep) in enumerate(specs):
+        fields = [F.lit(i).alias("id"), F.lit(bool(rep)).alias("nr"), text(rep).alias("r"),
+                  F.lit(bool(ind)).alias("ng"), text(ind).alias("g"),
+                  (text(dep) if kind == "c" else F.lit(None).cast("string")).alias("val")]
+        if has_num:
+            fields.append((to_number(dep) if kind == "n" else F.lit(None).cast("double")).alias("x"))
+        entries.append(F.struct(*fields))
+    # a plain array of structs (never null) exploded in the scan's codegen stage; the
+    # filter keeps present answers / numbers within present groups
+    long = df.select(F.inline(F.array(*entries)))
+    present = F.col("val").isNotNull() | (F.col("x").isNotNull() if has_num else F.lit(False))
+    long = long.filter(present & (~F.col("ng") | F.col("g").isNotNull()) & (~F.col("nr") | F.col("r").isNotNull()))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if has_num:
+        aggs += [F.avg("x").alias("_m"), F.stddev_samp("x").alias("_sd")]
+    counts = long.groupBy("id", "r", "g", "val").agg(*aggs)
+    if has_cat:
+        # the total per plan row and group is a window over the aggregated counts: a
+        # window partition holds one group's distinct answers, never raw rows
+        counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy("id", "r", "g")))
+    meta = F.element_at(F.array(*[F.struct(F.lit(k == "c").alias("share"), F.lit(rep).cast("string").alias("rv"),
+                                           F.lit(ind).cast("string").alias("gv"), F.lit(dep).alias("var"))
+                                  for k, dep, ind, rep in specs]), F.col("id") + 1)
+    share = meta["share"]
     p = F.col("_n") / F.col("_total")
     se_p = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
-    se_m = F.col("_sd") / F.sqrt(F.col("_n"))
-    return j.select(
-        F.col("var").alias("dependent.var"), F.col("val").alias("dependent.var.value"),
-        F.col("gv").alias("independent.var"), F.col("g").alias("independent.var.value"),
-        F.when(share, p).otherwise(F.col("_m")).alias("numbers"),
-        F.when(share, se_p).otherwise(se_m).alias("se"),
-        F.when(share, F.greatest(F.lit(0.0), p - F.lit(Z_95) * se_p))
-         .otherwise(F.col("_m") - F.lit(Z_95) * se_m).alias("min"),
-        F.when(share, F.least(F.lit(1.0), p + F.lit(Z_95) * se_p))
-         .otherwise(F.col("_m") + F.lit(Z_95) * se_m).alias("max"),
-        F.col("rv").alias("repeat.var"), F.col("r").alias("repeat.var.value"),
+    lo_p, hi_p = F.greatest(F.lit(0.0), p - F.lit(Z_95) * se_p), F.least(F.lit(1.0), p + F.lit(Z_95) * se_p)
+    if has_num:
+        m, se_m = F.col("_m"), F.col("_sd") / F.sqrt(F.col("_n"))
+        lo_m, hi_m = m - F.lit(Z_95) * se_m, m + F.lit(Z_95) * se_m
+    if has_cat and has_num:
+        numbers, se, lo, hi = (F.when(share, a).otherwise(b) for a, b in ((p, m), (se_p, se_m), (lo_p, lo_m), (hi_p, hi_m)))
+    elif has_cat:
+        numbers, se, lo, hi = p, se_p, lo_p, hi_p
+    else:
+        numbers, se, lo, hi = m, se_m, lo_m, hi_m
+    return counts.select(
+        meta["var"].alias("dependent.var"), F.col("val").alias("dependent.var.value"),
+        meta["gv"].alias("independent.var"), F.col("g").alias("independent.var.value"),
+        numbers.alias("numbers"), se.alias("se"), lo.alias("min"), hi.alias("max"),
+        meta["rv"].alias("repeat.var"), F.col("r").alias("repeat.var.value"),
         share.alias("is_percent"))
 
 
