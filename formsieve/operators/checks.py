@@ -2,7 +2,8 @@
 
 Row rules are evaluated as ONE rule set in ONE scan: every rule becomes
 ``when(predicate, struct(rule_id, variable, issue, old_value))``; the array of those
-structs (nulls removed) is exploded with ``inline_outer``.  A null predicate never fires,
+structs is exploded with ``inline_outer`` and the null entries (rules that did not fire)
+are filtered out - no lambda, so it all stays in generated code.  A null predicate never fires,
 as a filter on ``ifelse(NA, 1, 0) == 1`` drops it.  No shuffle at all.
 
 Duplicates are a partial aggregate of key counts joined back (never a window over a
@@ -87,13 +88,16 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], ctx: LogContext = LogContext
         ))
         for r in rules
     ]
-    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    # A plain array (a rule that does not fire leaves a null entry) - no lambda, so the
+    # whole projection stays in generated code.
+    hits = F.array(*entries)
     base = df.select(col(ctx.uuid).cast("string").alias("uuid"),
                      col(ctx.agency).cast("string").alias("agency"),
                      col(ctx.area).cast("string").alias("area"),
                      hits.alias("_hits"))
     # inline_outer + a null filter: a plain inline makes the optimizer infer
-    # size(hits) > 0 and push it below, evaluating every rule twice per row.
+    # size(hits) > 0 and push it below, evaluating every rule twice per row; the filter
+    # drops the null entries of rules that did not fire.
     exploded = base.select("uuid", "agency", "area", F.inline_outer("_hits")).filter(F.col("rule_id").isNotNull())
     return exploded.select(
         "uuid", "agency", "area", "variable", "issue", "old_value",
@@ -196,10 +200,10 @@ def duration_issues(df: DataFrame, lower: float = 15, upper: float = 100, id_col
     """Q11: ``(id, value, variable, has_issue, issue_type)`` for lengths ``<= lower`` or
     ``>= upper``.  A row that is both yields two rows, as binding the two subsets does."""
     d = durations(df, id_col, start, end)
-    flags = F.filter(F.array(
-        F.when(F.col("duration_min") <= lower, F.lit(SHORT_ISSUE)),
-        F.when(F.col("duration_min") >= upper, F.lit(LONG_ISSUE))), lambda e: e.isNotNull())
-    return d.select(col(id_col), "duration_min", F.explode(flags).alias("issue_type")) \
+    flags = F.array(F.when(F.col("duration_min") <= lower, F.lit(SHORT_ISSUE)),
+                    F.when(F.col("duration_min") >= upper, F.lit(LONG_ISSUE)))
+    return d.select(col(id_col), "duration_min", F.explode_outer(flags).alias("issue_type")) \
+        .filter(F.col("issue_type").isNotNull()) \
         .select(col(id_col), F.col("duration_min").alias("value"),
                 F.lit(DURATION_VARIABLE).alias("variable"), F.lit("TRUE").alias("has_issue"), "issue_type")
 
@@ -248,7 +252,7 @@ def outliers(df: DataFrame, id_col: str, cols: Sequence[str], k: float = 3.0,
                                                  F.lit(OUTLIER_LOG).alias("issue_type"))))
     if not entries:
         entries = [F.lit(None).cast("struct<variable:string,value:double,issue_type:string>")]
-    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    hits = F.array(*entries)
     base = df.select(col(id_col), *[col(c) for c in keep], hits.alias("_hits"))
     out = base.select(col(id_col), *[col(c) for c in keep], F.inline_outer("_hits"))
     return out.filter(F.col("variable").isNotNull())

@@ -268,8 +268,7 @@ def _stand_in_part_dictionary(spark, sf) -> DataFrame:
         F.when(size > 45, F.struct(F.col("p_partkey").alias("ord"), F.lit("p_brand").alias("list_name"),
                                    F.col("p_brand").alias("name"), F.col("p_name").alias("label_english"))),
     ]
-    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return p.select(F.inline_outer(hits)).filter(F.col("list_name").isNotNull())
+    return p.select(F.inline_outer(F.array(*entries))).filter(F.col("list_name").isNotNull())
 
 
 def lookup_first(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,8 +348,7 @@ def _stand_in_correction_log(spark, sf) -> DataFrame:
         entry(seg == "AUTOMOBILE", "c_nationkey", "99", "TRUE", 8),
         entry(seg == "AUTOMOBILE", "c_name", "ghost", "TRUE", 9, F.concat(F.lit("x"), k.cast("string"))),
     ]
-    hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    return c.select(F.inline_outer(hits)).filter(F.col("variable").isNotNull())
+    return c.select(F.inline_outer(F.array(*entries))).filter(F.col("variable").isNotNull())
 
 
 def apply_log(spark: SparkSession, sf: str) -> DataFrame:
