@@ -75,21 +75,39 @@ def to_merge_table(results: DataFrame, keys: Sequence[str] | None = None,
     ``check_unique`` that is an error (checked on the checkpointed, aggregated results)."""
     r = results.drop(*[c for c in MERGE_DROP if c in results.columns])
     r = r.withColumn("var", composite_key("dependent.var", "dependent.var.value", sep="."))
-    if keys is None:
-        r, keys = pivot_keys(r, "var")
-    if check_unique:
-        dup = r.groupBy(col(index), "var").count().filter(F.col("count") > 1).limit(1).collect()
+    if keys is None and check_unique:
+        # one job over the checkpointed results gives the keys and the largest number
+        # of results per cell of each key
+        r = _materialize(r)
+        per_key = r.groupBy(col(index), "var").agg(F.count(F.lit(1)).alias("_cells")) \
+            .groupBy("var").agg(F.max("_cells").alias("_cells")) \
+            .orderBy("var").limit(MAX_WIDE_COLUMNS + 1).collect()
+        if len(per_key) > MAX_WIDE_COLUMNS:
+            raise ValueError(f"more than {MAX_WIDE_COLUMNS} pivot columns for 'var'")
+        dup = [row["var"] for row in per_key if row["_cells"] > 1]
         if dup:
-            raise ValueError(f"two results for one merge-table cell: {dup[0][0]!r} / {dup[0][1]!r}")
+            raise ValueError(f"two results for one merge-table cell: {dup[0]!r}")
+        keys = [row["var"] for row in per_key]
+    else:
+        if keys is None:
+            r, keys = pivot_keys(r, "var")
+        if check_unique:
+            dup = r.groupBy(col(index), "var").count().filter(F.col("count") > 1).limit(1).collect()
+            if dup:
+                raise ValueError(f"two results for one merge-table cell: {dup[0][0]!r} / {dup[0][1]!r}")
     return spread(r, [index], "var", "numbers", keys)
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    from formsieve.session import materialize
+    return materialize(df)
+
+
 def pivot_keys(df: DataFrame, key: str, max_keys: int = MAX_WIDE_COLUMNS):
     """The distinct values of a pivot key, read once.  The (aggregated, small) frame is
     checkpointed into the shared checkpoint folder first so the pivot does not recompute
     it; more than ``max_keys`` distinct values is an error, never a silent cut."""
-    from formsieve.session import materialize
-    fixed = materialize(df)
+    fixed = _materialize(df)
     keys = [r[0] for r in fixed.select(col(key)).distinct().orderBy(col(key)).limit(max_keys + 1).collect()]
     if len(keys) > max_keys:
         raise ValueError(f"more than {max_keys} pivot columns for {key!r}")
