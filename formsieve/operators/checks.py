@@ -175,6 +175,21 @@ def duplicate_log(df: DataFrame, key: str, issue: str, ctx: LogContext, area: st
                     F.lit(ctx.checked_by).alias("checked_by"), F.lit(rule_id).alias("rule_id"))
 
 
+def with_duplicate_flag(df: DataFrame, key: str, flag: str = "_dup_freq") -> DataFrame:
+    """D2 for a rule set: every row, plus the frequency of its key when that key occurs
+    more than once (null otherwise).  Key counts are a partial aggregate, joined back
+    with a left join (one count row per key, so no row is repeated); the duplicate rule
+    then runs in the same scan as the other row rules instead of a scan of its own."""
+    counts = frequency(df, key).filter(F.col("freq") > 1) \
+        .select(col(key).alias("_dup_key"), F.col("freq").alias(flag))
+    return df.join(counts, col(key) == F.col("_dup_key"), "left").drop("_dup_key")
+
+
+def duplicate_rule(key: str, issue: str, flag: str = "_dup_freq", rule_id: str = "Q1") -> Rule:
+    """Q1 as a row rule over :func:`with_duplicate_flag`: the key is the logged value."""
+    return Rule(rule_id, F.col(flag).isNotNull(), key, issue, key)
+
+
 # ---------------------------------------------------------------- interview length (Q11)
 
 SHORT_ISSUE = "form duration too short"

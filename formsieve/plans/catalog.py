@@ -241,18 +241,20 @@ def outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 def issue_log(spark: SparkSession, sf: str) -> DataFrame:
     """The assembled 9-column log (+ rule id).  All line-item row rules
-    run in one scan of line items x orders; duplicates, outliers, adequacy and prefix
-    rules add their parts."""
+    run in one scan of line items x orders; the duplicate and prefix rules of parts in
+    one scan of parts joined with their key counts; outliers and adequacy rules add
+    their parts."""
     li = _stand_in_lineitem_orders(spark, sf)
     row_rules = checks.run_rules(li, _range_rules() + _cross_rules(), LINE_CTX)
-    part = _part_with_nulls(spark, sf)
-    dup = checks.duplicate_log(part, "p_name", ISSUE_DUPLICATE, PART_CTX)
-    prefix = checks.run_rules(part, [checks.prefix_rule("Q4_BRAND", "brand2", ["Brand#1", "Brand#2"], ISSUE_PREFIX)],
-                              PART_CTX)
+    # duplicates and the prefix rule in one scan of parts (after the key-count aggregate)
+    part = checks.with_duplicate_flag(_part_with_nulls(spark, sf), "p_name")
+    part_rules = checks.run_rules(part, [
+        checks.duplicate_rule("p_name", ISSUE_DUPLICATE),
+        checks.prefix_rule("Q4_BRAND", "brand2", ["Brand#1", "Brand#2"], ISSUE_PREFIX)], PART_CTX)
     out = checks.outlier_log(_t(spark, sf, "lineitem").withColumns({
         "uuid": F.concat_ws("-", "l_orderkey", "l_linenumber"), "agency": col("l_suppkey").cast("string")}),
         OUTLIER_COLS, LINE_CTX)
-    return checks.assemble_log([dup, rule_adequacy(spark, sf), row_rules, out, prefix])
+    return checks.assemble_log([part_rules, rule_adequacy(spark, sf), row_rules, out])
 
 
 # ------------------------------------------------------------------ lookups and joins

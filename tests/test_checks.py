@@ -106,3 +106,23 @@ def test_assemble_log_row_count_is_sum_of_parts(spark):
     log = checks.assemble_log([a, b])
     assert log.count() == a.count() + b.count()
     assert all(t.dataType.simpleString() == "string" for t in log.schema.fields)
+
+
+def test_duplicate_rule_in_a_rule_set_equals_duplicate_log(spark):
+    # one key holds a third of the rows; null keys are never duplicates
+    n = 300
+    df = spark.range(n).select(
+        F.col("id").cast("string").alias("uuid"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string"))).alias("site"),
+        (F.col("id") % 5).cast("string").alias("org"),
+        F.col("id").alias("v"))
+    ctx = checks.LogContext(uuid="uuid", agency="org", area="site")
+    want = rows(checks.duplicate_log(df, "site", "dup", ctx))
+    flagged = checks.with_duplicate_flag(df, "site")
+    assert flagged.count() == n  # the left join keeps every row once
+    got = checks.run_rules(flagged, [checks.duplicate_rule("site", "dup"),
+                                     checks.range_rule("R", "v", 0, 250, "range")], ctx)
+    assert rows(got.filter(F.col("rule_id") == "Q1")) == want
+    assert got.filter(F.col("rule_id") == "R").count() == n - 251
+    assert ("hot",) in {(r[0],) for r in got.select("old_value").distinct().collect()}
