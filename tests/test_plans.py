@@ -111,3 +111,11 @@ def test_mixed_plan_is_one_scan_and_one_shuffle(spark, skewed):
     want = {(r[0], r[1]): round(r[2], 9) for r in analysis.numeric_means(skewed, ["o"], "k")
             .select("`dependent.var`", "`independent.var.value`", "numbers").collect()}
     assert got == want and len(got) == 98
+
+
+def test_row_rule_paths_have_no_lambdas(spark):
+    # higher-order functions run outside generated code; the hot row paths avoid them
+    for name in ["rule_range", "rule_cross_field", "outliers", "duration_check", "issue_log", "plan_shares",
+                 "auto_plan"]:
+        plan = physical(QUERIES[name](spark, SF))
+        assert "lambdafunction" not in plan.lower(), (name, plan)
