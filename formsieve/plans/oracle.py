@@ -392,21 +392,27 @@ s AS ({' UNION ALL '.join(f"SELECT '{t}' AS question, {t} AS freq, total, cases
 SELECT question, CAST(freq AS DOUBLE) AS freq, CAST(freq AS DOUBLE) / total * 100 AS percent,
        freq / cases * 100 AS percentofcases FROM s"""
 
+# The pivot keys are spelled out (the values these three columns can take): a query whose
+# columns depend on the data cannot be stored as a view.
+_MERGE_VALUES = {"l_linenumber": "1234567", "l_linestatus": "FO", "l_returnflag": "ANR"}
+_MERGE_KEYS = [(d, v) for d, vs in _MERGE_VALUES.items() for v in vs]
+
+
+def _cell(col: str, dep: str, val: str) -> str:
+    return f"""max({col}) FILTER (WHERE "dependent.var" = '{dep}' AND "dependent.var.value" = '{val}')"""
+
+
 MERGE_TABLE = f"""
+WITH {SHARES_CTE}
 SELECT "independent.var.value",
-       coalesce(round_even(COLUMNS(* EXCLUDE ("independent.var.value")) * 100, 0), 0.0::DOUBLE)
-FROM (PIVOT (WITH {SHARES_CTE}
-             SELECT "independent.var.value",
-                    lower("dependent.var" || '.' || coalesce("dependent.var.value", 'NA')) AS var, numbers FROM res)
-      ON var USING first(numbers) GROUP BY "independent.var.value")"""
+       {", ".join(f"coalesce(round_even({_cell('numbers', d, v)} * 100, 0), 0.0::DOUBLE) AS \"{f'{d}.{v}'.lower()}\"" for d, v in _MERGE_KEYS)}
+FROM res GROUP BY "independent.var.value" """
 
 MERGE_CONFINTS = f"""
-WITH {SHARES_CTE},
-k AS (SELECT "independent.var", "independent.var.value",
-             "dependent.var" || ':::' || coalesce("dependent.var.value", 'NA') AS key,
-             round_even(numbers, 6) AS numbers, round_even(min, 6) AS min, round_even(max, 6) AS max FROM res)
-PIVOT k ON key USING first(numbers) AS numbers, first(min) AS min, first(max) AS max
-GROUP BY "independent.var", "independent.var.value" """
+WITH {SHARES_CTE}
+SELECT "independent.var", "independent.var.value",
+       {", ".join(f"round_even({_cell(c, d, v)}, 6) AS \"{d}:::{v}_{c}\"" for d, v in _MERGE_KEYS for c in ("numbers", "min", "max"))}
+FROM res GROUP BY "independent.var", "independent.var.value" """
 
 
 def _fmt_num(x, d):
