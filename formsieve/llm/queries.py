@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_counts, token_files
+from . import line_dedup, mixing, packing, quality, token_counts, token_files
 from .common import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +31,61 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest, docs.schema["doc_id"].dataType)
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op9_token_files)}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and verdict."""
+    return quality.judge(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that three or more documents share."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs))
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op5_quality_rules, op7_line_dedup, op8_source_mix, op9_token_files)}
+
+#: Lines as the contract of operator 7 describes them; chr(9..13) and the space are its white space.
+_STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, {_LOWER.format(f"trim(line, {_STRIP})")} AS key FROM l),
+g AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(count(*) FILTER (WHERE keeper IS NOT NULL AND doc_id <> keeper) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+FROM k LEFT JOIN g USING (key) GROUP BY doc_id"""
+
+#: Words, lines and 5-word windows of operator 5, and its rules.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+OP5_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+w AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win
+      FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 4)) AS p FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE length(trim(line, {_STRIP})) > 0),
+n AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dups,
+             count(*) FILTER (WHERE regexp_matches(line, '(\.\.\.|…)[\x20\x09]*$')) AS ends,
+             count(*) FILTER (WHERE regexp_matches(line, '^[\x20\x09]*[-*•]')) AS bullets FROM l GROUP BY doc_id),
+m AS (SELECT d.doc_id, text, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+             coalesce(n_lines, 0) AS n_lines, coalesce(ends, 0) AS ends, coalesce(bullets, 0) AS bullets,
+             length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS letters
+      FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 2 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words
+            OR word_chars > 25 * n_words OR 2 * letters < word_chars OR 10 * ends > 3 * n_lines OR 10 * bullets > 9 * n_lines) AS kept
+FROM b"""
+
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5_SQL, "op7_line_dedup": OP7_SQL}
