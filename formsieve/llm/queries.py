@@ -7,13 +7,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality, token_counts, token_files
+from . import language, line_dedup, mixing, packing, quality, simhash, token_counts, token_files
 from .common import table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 COUNT_VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_simhash_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequence and place in it."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
@@ -36,6 +42,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.training_texts(language.learned_rows(docs)))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that three or more documents share."""
     docs = table(spark, sf_dir, "documents")
@@ -48,7 +61,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_token_counts, op5_quality_rules, op7_line_dedup, op8_source_mix, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_simhash_vp_trees, op3_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_line_dedup, op8_source_mix, op9_token_files)}
 
 #: Lines as the contract of operator 7 describes them; chr(9..13) and the space are its white space.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
