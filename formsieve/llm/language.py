@@ -33,10 +33,14 @@ from pyspark.sql import types as T
 from .common import byte_texts, crc_rest
 
 DOCS_PER_LANGUAGE = 200
-LETTERS_PER_LANGUAGE = 60_000
-MEMO_ENTRIES = 500_000
+LETTERS_PER_LANGUAGE = 40_000
+MEMO_ENTRIES = 200_000
+#: Languages learned at most, the most frequent first (bounds the thresholds sent to the executors).
+MAX_LANGUAGES = 500
 UNKNOWN = "und"
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: ASCII other than letters ends a word, so it may as well be a space; A-Z lowered in the same pass.
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 class SuffixAutomaton:
@@ -115,7 +119,7 @@ class Parser:
         """(language, score) of each text; the score is 1 - best entropy / second best."""
         if len(self.memo) > MEMO_ENTRIES:
             self._clear()
-        split = [(t or b"").split() for t in texts]
+        split = [(t or b"").translate(PLAIN).split() for t in texts]
         for c in set().union(*split).difference(self.memo):
             self._row(c)
         out = []
@@ -135,12 +139,14 @@ def training_texts(learn: DataFrame, docs: int = DOCS_PER_LANGUAGE, letters: int
                    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
     """Training text of each language: words of a bounded, hash-chosen sample of its documents."""
     learn = learn.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = learn.groupBy(F.col(lang_col).alias("__lang")).agg(F.count("*").alias("__n"))
+    counts = learn.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return {}
     draw = F.xxhash64(F.col(id_col).cast("string"), text_col, F.lit(6))
     # about three times the bound passes the draw, so only that much text meets the window
-    few = (learn.join(counts, learn[lang_col] == counts["__lang"])
-           .where(F.pmod(draw, F.lit(1_000_000)) < F.lit(3e6 * docs) / F.col("__n"))
-           .select(F.col("__lang").alias("lang"), F.substring(text_col, 1, letters).alias("text"), draw.alias("draw")))
+    share = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, 3e6 * docs / n)])
+    few = (learn.where(F.pmod(draw, F.lit(1_000_000)) < F.try_element_at(share, F.col(lang_col)))
+           .select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, letters).alias("text"), draw.alias("draw")))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     out: dict[str, list[str]] = {}
     for lang, text in few.withColumn("n", first).where(F.col("n") <= docs).orderBy("lang", "n").select("lang", "text").collect():

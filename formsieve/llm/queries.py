@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, mixing, packing, quality, simhash, token_counts, token_files
-from .common import table
+from . import language, line_dedup, mixing, neighbours, packing, quality, simhash, token_counts, token_files, toxicity
+from .common import crc_rest, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 COUNT_VOCABULARY = "byte_bpe_50k.json"
@@ -20,6 +20,13 @@ def op1_simhash_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(*toxicity.training_sample(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select("doc_id", (crc_rest(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequence and place in it."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
@@ -61,7 +68,12 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_vp_trees, op3_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_line_dedup, op8_source_mix, op9_token_files)}
+def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_vp_trees, op2_toxicity, op3_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_line_dedup, op8_source_mix, op9_token_files, op10_hilbert_neighbours)}
 
 #: Lines as the contract of operator 7 describes them; chr(9..13) and the space are its white space.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -33,7 +33,7 @@ PRE_TOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L
              r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 SAFE_END = "Ԁ"
 CUT = regex.compile(r"(?= [!-~¡-ɏ])")
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 
 
 def _byte_level(path: str) -> bool:

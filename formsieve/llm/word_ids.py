@@ -22,7 +22,7 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 250_000
 #: The pre-token pattern under which white-space chunks are independent (a fixed value of the vocabulary file).
 CHUNK_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
