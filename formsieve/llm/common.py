@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +61,20 @@ def byte_texts(column: pa.Array) -> list[bytes | None]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+
+
+#: Text that a task turns into Python objects at a time; a longer single text is a slice of its own.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``SLICE_BYTES`` of the text column, so that words
+    of thousands of documents never stand in memory together."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts, cuts[1:]):
+            yield b.slice(s, e - s)

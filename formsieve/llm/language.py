@@ -30,10 +30,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, crc_rest
+from .common import byte_texts, crc_rest, slices
 
 DOCS_PER_LANGUAGE = 200
-LETTERS_PER_LANGUAGE = 40_000
+LETTERS_PER_LANGUAGE = 25_000
 MEMO_ENTRIES = 200_000
 #: Languages learned at most, the most frequent first (bounds the thresholds sent to the executors).
 MAX_LANGUAGES = 500
@@ -163,7 +163,7 @@ def predict(docs: DataFrame, training: dict[str, str], id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(shared.value)
-        for b in batches:
+        for b in slices(batches):
             found = parser.batch(byte_texts(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.string()),
                                               pa.array([s for _, s in found], pa.float64())], names=[id_col, "lang_pred", "score"])
@@ -180,7 +180,7 @@ def drop_unknown(docs: DataFrame, training: dict[str, str], text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, at = _parser(shared.value), cols.index(text_col)
-        for b in batches:
+        for b in slices(batches, at):
             known = [x != UNKNOWN for x, _ in parser.batch(byte_texts(b.column(at)))]
             yield b.filter(pa.array(known, pa.bool_()))
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, lower_ascii, saved, strip_space
+from .common import byte_texts, lower_ascii, saved, slices, strip_space
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -191,7 +191,7 @@ def digests(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_co
     """(id, n_lines, n_dropped, kept_sha256) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             kept = [kept_lines(t, k) for t, k in zip(byte_texts(b.column(1)), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for _, n in kept], pa.int64()), pa.array([n - len(x) for x, n in kept], pa.int64()),
@@ -209,7 +209,7 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = cols.index(text_col)
-        for b in batches:
+        for b in slices(batches, at):
             texts = [None if t is None else t if k is None else b"\n".join(kept_lines(t, k)[0])
                      for t, k in zip(byte_texts(b.column(at)), b.column(len(cols)).to_pylist())]
             out = [b.column(i) for i in range(len(cols))]

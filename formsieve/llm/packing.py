@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved
+from .common import byte_texts, saved, slices
 from .word_ids import word_ids
 
 CAPACITY = 2048
@@ -101,7 +101,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             return out
 
         id_parts, rows, owners, seen = [], [], [], 0
-        for b in batches:
+        for b in slices(batches):
             id_parts.append(b.column(0))
             for k, ids in enumerate(encoder.batch(byte_texts(b.column(1)))):
                 for row in _pieces(ids, encoder.dtype, end_id, capacity):

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved
+from .common import byte_texts, saved, slices
 
 SHINGLE = 4
 DISTANCE = 4
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     """(id, fp) of every row; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64())], names=[id_col, "fp"])
 

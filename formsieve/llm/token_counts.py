@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import byte_texts
+from .common import byte_texts, slices
 from .word_ids import BYTE_LETTER, load_tokenizer
 
 #: What the byte-level pre-tokenizer of the vocabulary file splits on (a fixed value of that format).
@@ -121,7 +121,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
         if path not in _LOADED:
             _LOADED[path] = TokenCounter(path, whole.value)
         counter = _LOADED[path]
-        for b in batches:
+        for b in slices(batches):
             texts = byte_texts(b.column(1))
             n = [counter.count(t.decode()) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved, shared_path
+from .common import byte_texts, saved, shared_path, slices
 from .word_ids import word_ids
 
 ROW_LEN = 2048
@@ -116,9 +116,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
         encoder = word_ids(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         tokens, index, names, n_docs = None, None, None, 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches):
             if tokens is None:
                 names = [f"{folder}/{kind}-{uuid.uuid4().hex}.arrow" for kind in ("ids", "docs")]
                 where, _ = _open(folder)

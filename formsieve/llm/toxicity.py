@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, crc_rest
+from .common import byte_texts, crc_rest, slices
 
 TOXIC_DOCS = 1000
 CLEAN_DOCS = 2000
@@ -292,7 +292,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             _SCORERS.clear()
             _SCORERS[key] = Scorer(shared.value)
         scorer = _SCORERS[key]
-        for b in batches:
+        for b in slices(batches):
             s = scorer.batch(byte_texts(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())],
                                              names=[id_col, "score", "predicted"])
