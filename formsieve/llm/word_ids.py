@@ -93,8 +93,9 @@ class WordIds:
         for c in dict.fromkeys(todo):
             w = c.decode()
             # Latin letters up to U+024F hold no combining marks and one pre-token: only the merges are left to do
-            if w.isalpha() and max(w) < "\u0250":
-                letters = w if w.isascii() else "".join([BYTE_LETTER[b] for b in w.lower().encode()])
+            # (a dotted capital I lower-cases to two code points, one of them a mark)
+            if (low := w.lower()).isalpha() and max(w) < "\u0250":
+                letters = w if w.isascii() else "".join([BYTE_LETTER[b] for b in low.encode()])
                 memo[c] = array(code, [t.id for t in merge(letters)]).tobytes()
             else:
                 rest.append(c)
