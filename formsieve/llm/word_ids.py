@@ -85,7 +85,7 @@ class WordIds:
         for c in chunks:
             head, last = c[:-1], c[-1:]
             # a pre-token never joins a letter and the punctuation after it
-            if last in b".," and head.decode().isalpha():
+            if last in b".," and (h := head.decode()).lower().isalpha() and max(h) < "\u0250":
                 todo += [x for x in (head, last) if x not in memo]
             else:
                 todo.append(c)
