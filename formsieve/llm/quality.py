@@ -91,11 +91,14 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def rule_order(measured: DataFrame, rules: dict[str, str] | None = None, sample_rows: int = SAMPLE_ROWS) -> list[str]:
+def rule_order(docs: DataFrame, rules: dict[str, str] | None = None, sample_rows: int = SAMPLE_ROWS,
+               id_col: str = "doc_id", text_col: str = "text") -> list[str]:
     """Rules by rejection per cost on a sample (bounded; it decides the order only)."""
     rules = rules or RULES
-    # the limit stands below the filter: pushed under the measures, the filter would work them out once more
-    sample = saved(measured.limit(sample_rows), "sample").where(~base_failed())
+    # a collected limit reads as few partitions as it needs; one inside a plan would start them all
+    rows = docs.select(id_col, text_col).limit(sample_rows).collect()
+    few = docs.sparkSession.createDataFrame(rows, docs.select(id_col, text_col).schema)
+    sample = saved(measures(few, id_col, text_col), "sample").where(~base_failed())
 
     def timed(condition: str) -> tuple[float, int]:
         best, n = float("inf"), 0
@@ -119,7 +122,7 @@ def judge(docs: DataFrame, rules: dict[str, str] | None = None, id_col: str = "d
     rules = rules or RULES
     measured = measures(docs, id_col, text_col)
     verdict = F.lit(True)
-    for name in reversed(rule_order(measured, rules)):
+    for name in reversed(rule_order(docs, rules, id_col=id_col, text_col=text_col)):
         verdict = F.when(F.expr(rules[name]), False).otherwise(verdict)
     return measured.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                            base_failed().alias("base_failed"), F.when(base_failed(), False).otherwise(verdict).alias("kept"))
