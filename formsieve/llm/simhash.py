@@ -241,7 +241,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_shard: int = MAX_SHARD)
     if not dense.isEmpty():
         sizes = dense.groupBy("shard").agg(F.ceil(2 * F.count("*") / max_shard).alias("g"))
         block = F.pmod(F.xxhash64("fp"), F.col("g"))
-        dealt = (dense.join(F.broadcast(sizes), "shard").withColumn("i", block)  # a row per dense shard, each of over max_shard rows
+        # the planner chooses the join by the measured size of the dense shards' table
+        dealt = (dense.join(sizes, "shard").withColumn("i", block)
                  .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)))
                  .select(F.xxhash64("shard", F.least("i", "j"), F.greatest("i", "j")).alias("shard"), "fp"))
         more = saved(dealt.repartition("shard").sortWithinPartitions("shard")
