@@ -2,23 +2,27 @@
 
 Equal vectors are one point, so copies take one place and no tie between them is lost.
 Each of ``curves`` orderings projects the points on ``dims`` random orthonormal directions, shifts and scales
-them to a grid and gives each its Hilbert key.  Each curve is range-partitioned into
-blocks of about ``window`` points, at quantiles of (key, id) in a bounded sample (so equal keys are split
-as well); a query is also sent to the blocks before and after its own.  A block's task compares its queries with its
-points on 8-bit copies of the vectors and keeps the ``keep`` nearest of each query.  The
-curves' findings merge, and the nearest ``rerank`` are ranked by exact distance on the
+them to a grid and gives each its Hilbert key.  Each curve is range-partitioned by (key, id) into
+blocks of about ``window`` points, so equal keys are split as well; a query is also sent to
+the blocks before and after its own.  A block's task holds its queries, streams its points
+past them on 8-bit copies of the vectors and keeps the ``KEEP`` nearest of each query.  The
+curves' findings merge, and the nearest ``RERANK`` are ranked by exact distance on the
 original vectors, in double precision.
 
-The window is ``max(least_window, points * window_share)``.  A share of the table is what
-holds recall on data without structure (the test vectors are nearly uniform on a sphere in
-64 dimensions, where a neighbour's key is hardly nearer than another's); a fixed number,
-``window``, makes the work linear and suits clustered vectors.  Blocks hold at most
-``max_block`` points; wider windows take several blocks on either side.
+The window is measured: ``PROBES`` queries get their exact nearest neighbours from one pass over all
+points, a second pass counts the points before each of these on every curve, and the window is the smallest
+(from ``least_window`` on, in steps of a half) in which ``target`` of the neighbours are in reach on some curve.
+Clustered vectors keep the least window, so their work grows with the table; on
+vectors without structure no curve brings neighbours together, and the window becomes a share of the table.
+
+Bounds: ``SAMPLE`` vectors fit the projections' scales; blocks' boundaries come from ``PER_BLOCK`` sampled
+keys a block, at most ``MAX_BLOCKS`` blocks a curve (larger tables get larger blocks, whose points are
+streamed).  Every point is indexed.
 
 Edge cases: a vector that is null, empty or zero, or holds null or non-finite components, takes no
 part, nor does a null id; vectors of another than the most frequent length take no part;
 repeated rows count once; fewer than ``k`` candidates give all of them if the curves find them (always for
-tables of up to three windows); an empty table gives an empty result; other columns are not read.
+tables of up to three windows); an empty table, or one without queries, gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,11 +40,14 @@ CURVES = 24
 DIMS = 12
 BITS = 5
 LEAST_WINDOW = 256
-WINDOW_SHARE = 1 / 80
-MAX_BLOCK = 8192
 KEEP = 16
 RERANK = 40
-SAMPLE_PER_BLOCK = 64
+SAMPLE = 16_384
+PER_BLOCK = 16
+MAX_BLOCKS = 50_000
+PROBES = 64
+#: Share of the probes' neighbours that a window must reach; blocks reach further than the window by half on average.
+TARGET = 0.95
 SEED = 10
 
 
@@ -70,34 +77,38 @@ def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Curves:
-    """Projections, shifts and block boundaries, fitted on a bounded sample."""
+    """Projections and shifts, with scales fitted on a bounded sample."""
 
-    def __init__(self, sample: np.ndarray, ids: np.ndarray, curves: int, blocks: int, dims: int = DIMS, bits: int = BITS):
+    def __init__(self, sample: np.ndarray, curves: int, dims: int = DIMS, bits: int = BITS):
         rng = np.random.default_rng(SEED)
         dims = min(dims, sample.shape[1])
-        self.bits, self.mean = bits, sample.mean(0)
+        self.bits, self.mean, self.n = bits, sample.mean(0), curves
         self.turn = [np.linalg.qr(rng.normal(size=(sample.shape[1], dims)))[0] for _ in range(curves)]
         self.scale = [np.maximum(((sample - self.mean) @ t).std(0), 1e-12) for t in self.turn]
         self.shift = [rng.uniform(3, 5, size=dims) for _ in range(curves)]
-        self.cuts = []
-        for c in range(curves):
-            keys = self.keys(sample, c)
-            order = np.lexsort((ids, keys))
-            at = (np.arange(1, blocks) * len(order)) // blocks
-            self.cuts.append(np.rec.fromarrays([keys[order][at], ids[order][at]], names="k,i"))
 
     def keys(self, x: np.ndarray, c: int) -> np.ndarray:
         grid = ((x - self.mean) @ self.turn[c] / self.scale[c] + self.shift[c]) / 8 * (1 << self.bits)
         return hilbert_key(np.clip(grid, 0, (1 << self.bits) - 1).astype(np.int64), self.bits)
 
-    def block(self, x: np.ndarray, ids: np.ndarray, c: int) -> np.ndarray:
-        """Number of the range that holds (key, id)."""
-        keys, cut = self.keys(x, c), self.cuts[c]
-        low, high = np.searchsorted(cut.k, keys, "left"), np.searchsorted(cut.k, keys, "right")
-        out = high.copy()
-        for i in np.flatnonzero(low != high):  # a boundary on this very key: the id decides
-            out[i] = low[i] + np.searchsorted(cut.i[low[i]:high[i]], ids[i], "right")
-        return out
+
+PAIR = np.dtype([("k", np.int64), ("i", np.int64)])
+
+
+def pairs(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Records (key, id), which compare by key, then id."""
+    out = np.empty(len(keys), PAIR)
+    out["k"], out["i"] = keys, ids
+    return out
+
+
+def upto(marks: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """How many of the sorted marks are not after each (key, id)."""
+    out = np.searchsorted(marks["k"], keys, "right")
+    tie = np.flatnonzero(np.searchsorted(marks["k"], keys, "left") != out)
+    if len(tie):  # a mark on this very key: the id decides
+        out[tie] = np.searchsorted(marks, pairs(keys[tie], ids[tie]), "right")
+    return out
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -110,12 +121,84 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-BLOCKS = "place long, point long, asks boolean, norm float, scale float, code binary"
+KEYS = "curve int, key long, point long"
+COUNTS = "curve int, slot int, n long"
+NEAR = "query long, point long, score double"
+BLOCKS = "place long, point long, scale float, code binary"
 FOUND = "query long, point long, about float"
 
 
-def _deal(curves: Curves, reach: int, blocks: int):
-    """Points to the blocks of every curve; query points to the ``reach`` blocks on either side too."""
+def _keys(curves: Curves):
+    """(curve, key, id) of every point."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x = _matrix(b.column(1))
+                for c in range(curves.n):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c, np.int32)), pa.array(curves.keys(x, c)), b.column(0)],
+                                                     names=["curve", "key", "point"])
+
+    return run
+
+
+def _counts(curves: Curves, marks: list[np.ndarray]):
+    """(curve, slot, n): a task's number of points after ``slot`` of the marks, and before the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((curves.n, len(marks[0]) + 1), np.int64)
+        for b in batches:
+            if b.num_rows:
+                ids, x = b.column(0).to_numpy(), _matrix(b.column(1))
+                for c in range(curves.n):
+                    n[c] += np.bincount(upto(marks[c], curves.keys(x, c), ids), minlength=n.shape[1])
+        c, slot = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(slot, pa.int32()), pa.array(n[c, slot])], names=["curve", "slot", "n"])
+
+    return run
+
+
+class Asks:
+    """Queries and the nearest points that they met so far."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, keep: int):
+        self.ids, self.x, self.keep, self.norm = ids, x, keep, (x * x).sum(1)
+        self.about, self.names = np.full((len(ids), keep), np.inf, x.dtype), np.full((len(ids), keep), -1, np.int64)
+
+    def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
+        norm = (x * x).sum(1)
+        for at in range(0, len(self.ids), 256):
+            part = slice(at, at + 256)
+            d = self.norm[part, None] + norm[None, :] - 2 * (self.x[part] @ x.T)
+            d[self.ids[part, None] == ids[None, :]] = np.inf
+            d = np.concatenate([self.about[part], d], 1)
+            best = np.argpartition(d, self.keep - 1, axis=1)[:, :self.keep]
+            old = best < self.keep
+            self.names[part] = np.where(old, np.take_along_axis(self.names[part], np.where(old, best, 0), 1), ids[np.where(old, 0, best - self.keep)])
+            self.about[part] = np.take_along_axis(d, best, 1)
+
+    def found(self, names: list[str]) -> pa.RecordBatch:
+        fine = np.isfinite(self.about)
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, self.keep)[fine.ravel()]), pa.array(self.names[fine]),
+                                           pa.array(self.about[fine])], names=names)
+
+
+def _probe(ids: np.ndarray, x: np.ndarray, k: int):
+    """The probes' k nearest points of each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asks = Asks(ids, x, k)
+        for b in batches:
+            if b.num_rows:
+                asks.meet(b.column(0).to_numpy(), _matrix(b.column(1)))
+        yield asks.found(["query", "point", "score"])
+
+    return run
+
+
+def _deal(curves: Curves, cuts: list[np.ndarray], blocks: int):
+    """Points to their blocks on every curve (odd places), queries to theirs and the blocks on
+    either side (even places, so that they come first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,67 +207,92 @@ def _deal(curves: Curves, reach: int, blocks: int):
             ids, x, asks = b.column(0).to_numpy(), _matrix(b.column(1)), b.column(2).to_numpy(zero_copy_only=False)
             scale = np.abs(x).max(1) / 127
             code = np.rint(x / scale[:, None]).astype(np.int8)
-            norm, bytes_ = (x * x).sum(1).astype(np.float32), pa.array([r.tobytes() for r in code], pa.binary())
-            for c in range(len(curves.turn)):
-                block = curves.block(x, ids, c)
-                for step in range(-reach, reach + 1):
+            scale, bytes_ = scale.astype(np.float32), pa.array([r.tobytes() for r in code], pa.binary())
+            for c in range(curves.n):
+                block = upto(cuts[c], curves.keys(x, c), ids)
+                for step, odd, who in ((0, 1, True), (0, 0, asks), (-1, 0, asks), (1, 0, asks)):
                     to = block + step
-                    take = np.flatnonzero((to >= 0) & (to < blocks) & (asks if step else True))
-                    # a row sent on to a neighbour asks there, and isn't a candidate again
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((to[take] + c * blocks) * 2 + (step != 0), pa.int64()), pa.array(ids[take], pa.int64()), pa.array(asks[take], pa.bool_()),
-                         pa.array(norm[take]), pa.array(scale[take].astype(np.float32)), bytes_.take(pa.array(take))],
-                        names=["place", "point", "asks", "norm", "scale", "code"])
+                    take = np.flatnonzero((to >= 0) & (to < blocks) & who)
+                    yield pa.RecordBatch.from_arrays([pa.array((to[take] + c * blocks) * 2 + odd, pa.int64()), pa.array(ids[take]), pa.array(scale[take]),
+                                                      bytes_.take(pa.array(take))], names=["place", "point", "scale", "code"])
 
     return run
 
 
 def _nearest(keep: int):
-    """Rows sorted by place (a block's points, then the queries sent to it); the nearest points of each query."""
-
-    def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        place, ids = rows.column("place").to_numpy(), rows.column("point").to_numpy()
-        asks = rows.column("asks").to_numpy()
-        x = np.stack([np.frombuffer(r, np.int8) for r in rows.column("code").to_pylist()]).astype(np.float32) * rows.column("scale").to_numpy()[:, None]
-        own = place % 2 == 0
-        points, names, norm = x[own], ids[own], (x * x).sum(1)
-        if not len(points):
-            return
-        for at in np.array_split(np.flatnonzero(asks), max(1, int(asks.sum()) // 256)):
-            if not len(at):
-                continue
-            d = norm[at][:, None] + norm[own][None, :] - 2 * (x[at] @ points.T)
-            d[ids[at][:, None] == names[None, :]] = np.inf
-            n = min(keep, d.shape[1])
-            best = np.argpartition(d, n - 1, axis=1)[:, :n]
-            about = np.take_along_axis(d, best, 1).ravel()
-            fine = np.isfinite(about)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[at], n)[fine], pa.int64()), pa.array(names[best].ravel()[fine], pa.int64()),
-                                              pa.array(about[fine].astype(np.float32))], names=["query", "point", "about"])
+    """Rows sorted by place (a block's queries, then its points); the nearest points of each query."""
+    names = ["query", "point", "about"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, block = [], None
+        block, held, asks = None, [], None
         for b in batches:
             if not b.num_rows:
                 continue
-            blocks = b.column(0).to_numpy() // 2
-            cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
-            for s, e in zip(cuts, cuts[1:]):
-                if blocks[s] != block and held:
-                    yield from solve(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                block = blocks[s]
-                held.append(b.slice(s, e - s))
-        if held:
-            yield from solve(pa.Table.from_batches(held).combine_chunks())
+            place, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
+            code = np.frombuffer(b"".join(b.column(3).to_pylist()), np.int8).reshape(len(ids), -1)
+            x = code.astype(np.float32) * b.column(2).to_numpy()[:, None]
+            at = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(place)]])
+            for s, e in zip(at, at[1:]):
+                if place[s] // 2 != block:
+                    if asks is not None:
+                        yield asks.found(names)
+                    block, held, asks = place[s] // 2, [], None
+                if place[s] % 2 == 0:
+                    held.append((ids[s:e], x[s:e]))
+                elif held:
+                    asks = asks or Asks(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]), keep)
+                    asks.meet(ids[s:e], x[s:e])
+        if asks is not None:
+            yield asks.found(names)
 
     return run
 
 
+def measured_window(points: DataFrame, curves: Curves, n: int, k: int, least: int, target: float = TARGET) -> int:
+    """The smallest window that brings ``target`` of the probes' exact neighbours into reach on some curve."""
+    probes = points.where("asks").orderBy(F.xxhash64("point", F.lit(SEED)), "point").limit(PROBES).select("point", "v").toArrow()
+    ids, x = probes.column(0).to_numpy(), _matrix(probes.column(1).combine_chunks())
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "point"))
+    exact = points.select("point", "v").mapInArrow(_probe(ids, x, k), NEAR).withColumn("r", rank).where(F.col("r") <= k).select("query", "point")
+    near = points.select("point", "v").join(F.broadcast(exact), "point").select("query", "point", "v").toArrow()  # k rows a probe
+    if not near.num_rows:
+        return least
+    marked, vectors = np.concatenate([ids, near.column(1).to_numpy()]), np.concatenate([x, _matrix(near.column(2).combine_chunks())])
+    marks = [pairs(curves.keys(vectors, c), marked) for c in range(curves.n)]
+    order = [np.argsort(m, order=("k", "i"), kind="stable") for m in marks]
+    counts = np.zeros((curves.n, len(marked) + 1), np.int64)
+    shared = points.select("point", "v").mapInArrow(_counts(curves, [m[o] for m, o in zip(marks, order)]), COUNTS)
+    for r in shared.groupBy("curve", "slot").agg(F.sum("n").alias("n")).collect():  # a row per curve and mark
+        counts[r["curve"], r["slot"]] = r["n"]
+    place = np.empty((curves.n, len(marked)), np.int64)
+    for c in range(curves.n):
+        place[c][order[c]] = counts[c].cumsum()[:-1]
+    asker = {i: j for j, i in enumerate(ids.tolist())}
+    of = np.array([asker[q] for q in near.column(0).to_pylist()])
+    apart = np.abs(place[:, len(ids):] - place[:, of]).min(0)
+    window = least
+    while window < n and (apart <= window).mean() < target:
+        window = window * 3 // 2
+    return window
+
+
+def boundaries(points: DataFrame, curves: Curves, n: int, blocks: int) -> list[np.ndarray]:
+    """The first (key, id) of every block but the first, on each curve, from sampled keys."""
+    some = F.pmod(F.xxhash64("point", F.lit(SEED + 1)), F.lit(1 << 30)) < F.lit(int(min(1.0, PER_BLOCK * blocks / n) * (1 << 30)))
+    keyed = points.where(some).select("point", "v").mapInArrow(_keys(curves), KEYS)
+    # a window over one curve's sample: at most about PER_BLOCK * MAX_BLOCKS rows
+    one = Window.partitionBy("curve")
+    placed = keyed.withColumns({"r": F.row_number().over(one.orderBy("key", "point")) - 1, "m": F.count("*").over(one)})
+    cuts = placed.where((F.col("r") > 0) & (F.floor(F.col("r") * blocks / F.col("m")) > F.floor((F.col("r") - 1) * blocks / F.col("m")))).select("curve", "key", "point").toArrow()
+    curve, found = cuts.column(0).to_numpy(), pairs(cuts.column(1).to_numpy(), cuts.column(2).to_numpy())
+    return [np.sort(found[curve == c], order=("k", "i")) for c in range(curves.n)]
+
+
 def search(vectors: DataFrame, asks: Column, k: int = 10, window: int | None = None, curves: int = CURVES,
-           least_window: int = LEAST_WINDOW, window_share: float = WINDOW_SHARE, max_block: int = MAX_BLOCK,
+           least_window: int = LEAST_WINDOW, max_blocks: int = MAX_BLOCKS,
            id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found for every row where ``asks`` holds."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest found for every row where ``asks`` holds.
+    ``window`` None: measured."""
     spark = vectors.sparkSession
     fit = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), asks.alias("asks"))
@@ -201,15 +309,15 @@ def search(vectors: DataFrame, asks: Column, k: int = 10, window: int | None = N
     asking = rows.where("asks").select("h1", "h2").distinct().withColumn("asks", F.lit(True))
     points = saved(classes.join(asking, ["h1", "h2"], "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "points")
     n = points.count()
-    window = window or max(least_window, int(n * window_share))
-    size = min(window, max_block)
-    blocks, reach = max(1, round(n / size)), -(-window // size)
-    most = min(n, max(4096, SAMPLE_PER_BLOCK * blocks))  # the sample's bound
-    sample = points.where(F.pmod(F.xxhash64("point", F.lit(SEED)), F.lit(1 << 20)) < F.lit(int(1.5 * most / n * (1 << 20)) + 1)).select("point", "v").limit(most).collect()
-    if not sample:
-        sample = points.select("point", "v").limit(most).collect()
-    fitted = Curves(np.array([r["v"] for r in sample], np.float64), np.array([r["point"] for r in sample], np.int64), curves, blocks)
-    dealt = points.select("point", "v", "asks").mapInArrow(_deal(fitted, reach, blocks), BLOCKS)
+    if points.where("asks").isEmpty():
+        return spark.createDataFrame([], empty)
+    draw = F.pmod(F.xxhash64("point", F.lit(SEED)), F.lit(1 << 30))
+    some = points.where(draw <= F.lit(int(min(1.0, 1.5 * SAMPLE / n) * (1 << 30))))
+    sample = _matrix(some.orderBy(draw, "point").limit(SAMPLE).select("v").toArrow().column(0).combine_chunks())
+    fitted = Curves(sample, curves)
+    window = window or measured_window(points, fitted, n, k, least_window)
+    blocks = min(max_blocks, max(1, round(n / window)))
+    dealt = points.select("point", "v", "asks").mapInArrow(_deal(fitted, boundaries(points, fitted, n, blocks), blocks), BLOCKS)
     parts = max(1, min(curves * blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     found = dealt.withColumn("block", F.expr("place div 2")).repartition(parts, "block").drop("block").sortWithinPartitions("place").mapInArrow(_nearest(KEEP), FOUND)
     best = found.groupBy("query", "point").agg(F.min("about").alias("about"))
