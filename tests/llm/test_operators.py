@@ -504,6 +504,44 @@ def test_neighbours(spark):
     assert neighbours.search(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_marks_before_a_key_and_id():
+    rng = np.random.default_rng(3)
+    marks = np.sort(neighbours.pairs(rng.integers(0, 5, 40), rng.integers(0, 9, 40)), order=("k", "i"))
+    keys, ids = rng.integers(-1, 6, 300), rng.integers(0, 9, 300)
+    assert neighbours.upto(marks, keys, ids).tolist() == [sum(m <= (k, i) for m in marks.tolist()) for k, i in zip(keys.tolist(), ids.tolist())]
+
+
+def test_asks_keep_the_nearest_of_several_batches():
+    rng = np.random.default_rng(4)
+    x, ids = rng.normal(size=(700, 6)), np.arange(700)
+    asks = neighbours.Asks(ids[:300], x[:300], 5)
+    for at in (0, 2, 300, 650):
+        asks.meet(ids[at:{0: 2, 2: 300, 300: 650, 650: 700}[at]], x[at:{0: 2, 2: 300, 300: 650, 650: 700}[at]])
+    d = ((x[:300, None] - x[None]) ** 2).sum(2)
+    d[np.arange(300), np.arange(300)] = np.inf
+    assert (np.sort(asks.names, 1) == np.sort(np.argsort(d, 1)[:, :5], 1)).all()
+
+
+def test_window_follows_the_structure_of_the_vectors(spark):
+    """Clustered vectors keep the least window, uniform ones get more, and both reach the recall."""
+    rng = np.random.default_rng(5)
+    clustered = np.concatenate([rng.normal(c, 0.01, size=(15, 24)) for c in rng.normal(size=(200, 24))])
+    for x, wide in ((clustered, False), (rng.normal(size=(3000, 24)), True)):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        points = df.select(F.col("vec_id").alias("point"), F.col("embedding").alias("v"), (F.col("vec_id") % 20 == 0).alias("asks"))
+        window = neighbours.measured_window(points, neighbours.Curves(x, 8), len(x), 10, 32)
+        assert (window > 32) == wide
+        got = defaultdict(set)
+        for r in neighbours.search(df, F.col("vec_id") % 100 == 0, curves=8, least_window=32, max_blocks=40).collect():
+            got[r.query_id].add(r.vec_id)
+        hits = 0
+        for q in range(0, 3000, 100):
+            d = ((x - x[q]) ** 2).sum(1)
+            d[q] = np.inf
+            hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+        assert hits >= 0.9 * 300
+
+
 def test_hilbert_key_steps_to_neighbours():
     cells = np.array(np.meshgrid(*[np.arange(8)] * 3)).reshape(3, -1).T
     key = neighbours.hilbert_key(cells, 3)
