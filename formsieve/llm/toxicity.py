@@ -8,7 +8,7 @@ Kernel.  A unit's features are its subsequences of three symbols within a span o
 each weighing ``DECAY`` to the power of its span, so a gapped or inserted character lowers a match
 without breaking it; the kernel of two units is the cosine of their features.
 
-Training, on the driver over a bounded sample of labelled documents (``TOXIC_DOCS`` and ``CLEAN_DOCS``):
+Training, on the driver over a bounded sample of labelled documents (about ``TOXIC_DOCS`` and ``CLEAN_DOCS``, each of at most ``SAMPLE_CHARS``):
 sentences take their document's label.  Landmarks are the units that most mark toxic sentences, and
 common units of clean ones; K(x, L) K(L, L)^(-1/2) are a unit's Nystroem features.  A linear SVM separates
 the telling units of toxic sentences, and copies of them with one or two symbols put in, from units of clean
@@ -41,6 +41,8 @@ from .common import byte_texts, crc_rest, slices
 
 TOXIC_DOCS = 1000
 CLEAN_DOCS = 2000
+#: Longer labelled documents are scored like any other, but not learned from: the sample passes the driver.
+SAMPLE_CHARS = 100_000
 LANDMARKS = 240
 ROUNDS = 3
 DECAY = 0.6
@@ -251,7 +253,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5, held: in
     share = F.when(F.col("label") == 1, F.lit(1e6 * toxic_docs / max(1, counts.get(1, 0)))).otherwise(F.lit(1e6 * clean_docs / max(1, counts.get(0, 0))))
     # the ids drawn are at most about the bound, whatever the number of labels: a checked broadcast
     chosen = usable.where(F.col("label").isin(0, 1) & (draw < share))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("label", "text").collect()
+    short = docs.where(F.length(text_col) <= SAMPLE_CHARS).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # equal texts teach once; an id that very many rows share cannot pass the bound either
+    held = short.join(F.broadcast(chosen), "id").select("label", "text").distinct()
+    rows = held.orderBy(F.xxhash64("text"), "label", "text").limit(2 * (toxic_docs + clean_docs)).collect()
     return ([r["text"].encode() for r in rows if r["label"] == 1 and r["text"]], [r["text"].encode() for r in rows if r["label"] == 0 and r["text"]])
 
 

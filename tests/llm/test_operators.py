@@ -347,6 +347,17 @@ def test_quality(spark, docs, none):
 def test_quality_exact_path_and_rule_order(docs):
     rules = {"slow": "length(regexp_replace(text, '(a|b|c|e|i|o)+x?', '')) < 0", "quick": "n_words > 0"}
     assert quality.rule_order(docs, rules)[0] == "quick"
+
+    def docs_kept():
+        return sorted((str(r.doc_id), r.kept) for r in quality.judge(docs).select("doc_id", "kept").collect())
+
+    chars, quality.SAMPLE_CHARS = quality.SAMPLE_CHARS, -1  # only longer texts: nothing to measure, the verdicts stay
+    try:
+        assert sorted(quality.rule_order(docs)) == sorted(quality.RULES)
+        without = docs_kept()
+    finally:
+        quality.SAMPLE_CHARS = chars
+    assert without == docs_kept()
     bits, quality.POSITION_BITS = quality.POSITION_BITS, 3  # texts of over 7 words take the path for very long ones
     try:
         for r in quality.measures(docs).select("doc_id", "n_repeat_words").where("doc_id <> 11").collect():
@@ -405,6 +416,17 @@ def test_toxicity_held_out(spark, none):
     assert {r.score for r in toxicity.score(odd, {}).collect()} == {0.0}
 
 
+def test_toxicity_sample_is_bounded(spark):
+    """An id that most rows share, equal texts, and texts too long for the sample."""
+    texts = [(1, f"you idiot number {i}") for i in range(300)] + [(2, "a clean one")] * 50 + [(3, "x " * toxicity.SAMPLE_CHARS), (4, None), (6, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("toxic", F.lit("clash"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1), (6, 0)], "doc_id long, toxic int")
+    toxic, clean = toxicity.training_sample(docs, labels, folds=1, held=-1, toxic_docs=20, clean_docs=20)
+    assert len(toxic) + len(clean) <= 80 and len(toxic) > 20 and len(clean) <= 1 and set(clean) <= {b"a clean one"}
+    again = toxicity.training_sample(docs.repartition(7), labels, folds=1, held=-1, toxic_docs=20, clean_docs=20)
+    assert (sorted(toxic), sorted(clean)) == (sorted(again[0]), sorted(again[1]))
+
+
 def test_kernel_collapses_to_one_vector():
     units = [b"idiot", b"idxiot", b"aaaa", b"abcabcabc", b"xy{z"]
     index, value = toxicity.features(units)
