@@ -4,10 +4,9 @@ Equal vectors are one point, so copies take one place and no tie between them is
 Each of ``curves`` orderings projects the points on ``dims`` random orthonormal directions, shifts and scales
 them to a grid and gives each its Hilbert key.  Each curve is range-partitioned by (key, id) into
 blocks of about ``window`` points, so equal keys are split as well; a query is also sent to
-the blocks before and after its own.  A block's task holds its queries, streams its points
-past them on 8-bit copies of the vectors and keeps the ``KEEP`` nearest of each query.  The
-curves' findings merge, and the nearest ``RERANK`` are ranked by exact distance on the
-original vectors, in double precision.
+the blocks before and after its own.  A block's task holds its queries, streams its points'
+vectors past them and keeps the ``k`` nearest of each query by exact distance in double
+precision, so nothing that a curve brought together is lost before the curves' findings merge.
 
 The window is measured: ``PROBES`` queries get their exact nearest neighbours from one pass over all
 points, a second pass counts the points before each of these on every curve, and the window is the smallest
@@ -33,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import saved
 
@@ -40,8 +40,6 @@ CURVES = 24
 DIMS = 12
 BITS = 5
 LEAST_WINDOW = 256
-KEEP = 16
-RERANK = 40
 SAMPLE = 16_384
 PER_BLOCK = 16
 MAX_BLOCKS = 50_000
@@ -124,8 +122,7 @@ def usable(vector: Column) -> Column:
 KEYS = "curve int, key long, point long"
 COUNTS = "curve int, slot int, n long"
 NEAR = "query long, point long, score double"
-BLOCKS = "place long, point long, scale float, code binary"
-FOUND = "query long, point long, about float"
+BLOCKS = "place long, point long, vector binary"
 
 
 def _keys(curves: Curves):
@@ -159,28 +156,49 @@ def _counts(curves: Curves, marks: list[np.ndarray]):
 
 
 class Asks:
-    """Queries and the nearest points that they met so far."""
+    """Queries and the nearest points that they met so far, by (distance, id).
+
+    Distances from one matrix product have an error, of at most ``slack`` times the squared norms (taken from the
+    queries' mean); every point that may be among the nearest by that bound is measured by its differences."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, keep: int):
-        self.ids, self.x, self.keep, self.norm = ids, x, keep, (x * x).sum(1)
-        self.about, self.names = np.full((len(ids), keep), np.inf, x.dtype), np.full((len(ids), keep), -1, np.int64)
+        self.ids, self.x, self.keep, self.mean = ids, x, keep, x.mean(0)
+        self.near = x - self.mean
+        self.norm, self.slack = (self.near * self.near).sum(1), (4 * x.shape[1] + 32) * np.finfo(np.float64).eps
+        self.about, self.names = np.full((len(ids), keep), np.inf), np.full((len(ids), keep), -1, np.int64)
+
+    def _exact(self, i: np.ndarray, x: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Squared distances of the pairs (i, j), summed in the components' order, so that they are equal wherever a pair meets."""
+        step = max(1, (1 << 20) // x.shape[1])
+        return np.concatenate([np.zeros(0), *(np.cumsum((self.x[i[s:s + step]] - x[j[s:s + step]]) ** 2, axis=1)[:, -1] for s in range(0, len(i), step))])
 
     def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
-        norm = (x * x).sum(1)
+        near = x - self.mean
+        norm = (near * near).sum(1)
         for at in range(0, len(self.ids), 256):
             part = slice(at, at + 256)
-            d = self.norm[part, None] + norm[None, :] - 2 * (self.x[part] @ x.T)
-            d[self.ids[part, None] == ids[None, :]] = np.inf
-            d = np.concatenate([self.about[part], d], 1)
-            best = np.argpartition(d, self.keep - 1, axis=1)[:, :self.keep]
-            old = best < self.keep
-            self.names[part] = np.where(old, np.take_along_axis(self.names[part], np.where(old, best, 0), 1), ids[np.where(old, 0, best - self.keep)])
-            self.about[part] = np.take_along_axis(d, best, 1)
-
-    def found(self, names: list[str]) -> pa.RecordBatch:
+            both = self.norm[part, None] + norm[None, :]
+            d, slack = both - 2 * (self.near[part] @ near.T), self.slack * both
+            own = self.ids[part, None] == ids[None, :]
+            most = self.about[part].max(1)
+            if len(ids) > self.keep:
+                most = np.fmin(most, np.partition(np.where(own, np.inf, d + slack), self.keep - 1, axis=1)[:, self.keep - 1])
+            i, j = np.nonzero(~(d - slack > most[:, None]) & ~own)
+            if not len(i):
+                continue
+            rows = np.arange(len(d)).repeat(self.keep)
+            row = np.concatenate([rows, i])
+            about = np.concatenate([self.about[part].ravel(), self._exact(i + at, x, j)])
+            names = np.concatenate([self.names[part].ravel(), ids[j]])
+            order = np.lexsort((names, about, row))
+            starts = np.searchsorted(row[order], np.arange(len(d)))
+            take = order[(starts[:, None] + np.arange(self.keep)).ravel()]
+            self.about[part], self.names[part] = about[take].reshape(-1, self.keep), names[take].reshape(-1, self.keep)
+
+    def found(self) -> pa.RecordBatch:
         fine = np.isfinite(self.about)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, self.keep)[fine.ravel()]), pa.array(self.names[fine]),
-                                           pa.array(self.about[fine])], names=names)
+                                           pa.array(np.sqrt(self.about[fine]))], names=["query", "point", "score"])
 
 
 def _probe(ids: np.ndarray, x: np.ndarray, k: int):
@@ -191,12 +209,12 @@ def _probe(ids: np.ndarray, x: np.ndarray, k: int):
         for b in batches:
             if b.num_rows:
                 asks.meet(b.column(0).to_numpy(), _matrix(b.column(1)))
-        yield asks.found(["query", "point", "score"])
+        yield asks.found()
 
     return run
 
 
-def _deal(curves: Curves, cuts: list[np.ndarray], blocks: int):
+def _deal(curves: Curves, cuts: list[np.ndarray], blocks: int, kind: type):
     """Points to their blocks on every curve (odd places), queries to theirs and the blocks on
     either side (even places, so that they come first)."""
 
@@ -205,23 +223,22 @@ def _deal(curves: Curves, cuts: list[np.ndarray], blocks: int):
             if not b.num_rows:
                 continue
             ids, x, asks = b.column(0).to_numpy(), _matrix(b.column(1)), b.column(2).to_numpy(zero_copy_only=False)
-            scale = np.abs(x).max(1) / 127
-            code = np.rint(x / scale[:, None]).astype(np.int8)
-            scale, bytes_ = scale.astype(np.float32), pa.array([r.tobytes() for r in code], pa.binary())
+            packed = x.astype(kind)
+            ends = np.arange(len(x) + 1, dtype=np.int32) * (packed.itemsize * x.shape[1])
+            bytes_ = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
             for c in range(curves.n):
                 block = upto(cuts[c], curves.keys(x, c), ids)
                 for step, odd, who in ((0, 1, True), (0, 0, asks), (-1, 0, asks), (1, 0, asks)):
                     to = block + step
                     take = np.flatnonzero((to >= 0) & (to < blocks) & who)
-                    yield pa.RecordBatch.from_arrays([pa.array((to[take] + c * blocks) * 2 + odd, pa.int64()), pa.array(ids[take]), pa.array(scale[take]),
-                                                      bytes_.take(pa.array(take))], names=["place", "point", "scale", "code"])
+                    yield pa.RecordBatch.from_arrays([pa.array((to[take] + c * blocks) * 2 + odd, pa.int64()), pa.array(ids[take]),
+                                                      bytes_.take(pa.array(take))], names=["place", "point", "vector"])
 
     return run
 
 
-def _nearest(keep: int):
+def _nearest(keep: int, kind: type):
     """Rows sorted by place (a block's queries, then its points); the nearest points of each query."""
-    names = ["query", "point", "about"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, asks = None, [], None
@@ -229,13 +246,12 @@ def _nearest(keep: int):
             if not b.num_rows:
                 continue
             place, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
-            code = np.frombuffer(b"".join(b.column(3).to_pylist()), np.int8).reshape(len(ids), -1)
-            x = code.astype(np.float32) * b.column(2).to_numpy()[:, None]
+            x = np.frombuffer(b"".join(b.column(2).to_pylist()), kind).reshape(len(ids), -1).astype(np.float64)
             at = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(place)]])
             for s, e in zip(at, at[1:]):
                 if place[s] // 2 != block:
                     if asks is not None:
-                        yield asks.found(names)
+                        yield asks.found()
                     block, held, asks = place[s] // 2, [], None
                 if place[s] % 2 == 0:
                     held.append((ids[s:e], x[s:e]))
@@ -243,7 +259,7 @@ def _nearest(keep: int):
                     asks = asks or Asks(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]), keep)
                     asks.meet(ids[s:e], x[s:e])
         if asks is not None:
-            yield asks.found(names)
+            yield asks.found()
 
     return run
 
@@ -317,16 +333,14 @@ def search(vectors: DataFrame, asks: Column, k: int = 10, window: int | None = N
     fitted = Curves(sample, curves)
     window = window or measured_window(points, fitted, n, k, least_window)
     blocks = min(max_blocks, max(1, round(n / window)))
-    dealt = points.select("point", "v", "asks").mapInArrow(_deal(fitted, boundaries(points, fitted, n, blocks), blocks), BLOCKS)
+    kind = np.float32 if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else np.float64
+    dealt = points.select("point", "v", "asks").mapInArrow(_deal(fitted, boundaries(points, fitted, n, blocks), blocks, kind), BLOCKS)
     parts = max(1, min(curves * blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    found = dealt.withColumn("block", F.expr("place div 2")).repartition(parts, "block").drop("block").sortWithinPartitions("place").mapInArrow(_nearest(KEEP), FOUND)
-    best = found.groupBy("query", "point").agg(F.min("about").alias("about"))
-    near = saved(best.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy("about", "point"))).where(F.col("r") <= RERANK).select("query", "point"), "near")
-
-    asked, other = points.where("asks").select(F.col("point").alias("query"), F.col("v").alias("a")), points.select("point", "ids", F.col("v").alias("b"))
-    exact = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))),
-                               F.lit(0.0), lambda s, x: s + x))
-    ranked = near.join(asked, "query").join(other, "point").select("query", "ids", exact.alias("score"))
+    found = dealt.withColumn("block", F.expr("place div 2")).repartition(parts, "block").drop("block").sortWithinPartitions("place").mapInArrow(_nearest(k, kind), NEAR)
+    # a pair's score is the same on every curve; the k nearest points hold the k nearest ids, as a point is its smallest id
+    best = found.groupBy("query", "point").agg(F.min("score").alias("score"))
+    near = best.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy("score", "point"))).where(F.col("r") <= k)
+    ranked = near.join(points.select("point", "ids"), "point").select("query", "ids", "score")
     same = points.where("asks").select(F.col("point").alias("query"), "ids", F.lit(0.0).alias("score"))
     listed = saved(ranked.unionByName(same).select("query", F.explode("ids").alias("vec_id"), "score")
                    .withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id")))

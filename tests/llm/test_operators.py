@@ -544,6 +544,39 @@ def test_asks_keep_the_nearest_of_several_batches():
     assert (np.sort(asks.names, 1) == np.sort(np.argsort(d, 1)[:, :5], 1)).all()
 
 
+def test_asks_measure_points_far_from_the_origin():
+    rng = np.random.default_rng(8)
+    x = np.concatenate([1e8 + rng.normal(size=(400, 6)), rng.normal(size=(5, 6))])
+    asks = neighbours.Asks(np.arange(50), x[:50], 5)
+    asks.meet(np.arange(200), x[:200])
+    asks.meet(np.arange(200, 405), x[200:])
+    d = ((x[:50, None] - x[None]) ** 2).sum(2)
+    d[np.arange(50), np.arange(50)] = np.inf
+    assert (asks.names == np.argsort(d, 1)[:, :5]).all()
+
+
+@pytest.mark.parametrize("kind", ["near copies", "large common component"])
+def test_neighbours_closer_than_a_code_step(spark, kind):
+    """Thousands of near-copies of one vector, and vectors with one large common component: every point met counts."""
+    rng = np.random.default_rng(9)
+    if kind == "near copies":
+        centre = rng.normal(size=64)
+        x = centre / np.linalg.norm(centre) + rng.normal(0, 0.0003, size=(3000, 64))
+    else:
+        x = rng.normal(size=(3000, 64)) + 300 * np.eye(64)[0]
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in neighbours.search(df, F.col("vec_id") % 100 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 3000, 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.93 * 300
+
+
 def test_window_follows_the_structure_of_the_vectors(spark):
     """Clustered vectors keep the least window, uniform ones get more, and both reach the recall."""
     rng = np.random.default_rng(5)
