@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,16 +70,17 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp, the columns ``also``) of every row; fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in byte_texts(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64())], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64()), *b.columns[2:]], names=[id_col, "fp", *also])
 
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType()),
+                           *(T.StructField(c, docs.schema[c].dataType) for c in also)])
+    return docs.select(id_col, text_col, *also).mapInArrow(run, schema)
 
 
 # ------------------------------------------------------------------ trees
@@ -277,28 +278,46 @@ def connected(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def with_roots(classes: DataFrame, distance: int, max_shard: int) -> DataFrame:
+    """``classes`` (a row per fp) with the root of each one's component."""
+    roots = saved(connected(links(classes.select("fp"), distance, max_shard)), "roots")
+    return classes.join(roots, classes["fp"] == roots["node"], "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, max_shard: int = MAX_SHARD,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) of every row; component_id is the smallest id of its component."""
     marked = saved(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = saved(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
-    roots = saved(connected(links(classes.select("fp"), distance, max_shard)), "roots")
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = with_roots(classes, distance, max_shard)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # a class of exact copies may hold a third of all rows: its join partition is split by AQE
     names = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(names, "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component, the one of the smallest id (of rows that share
-    that id, the one with the smallest text hash)."""
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    keep = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["__id"])).drop("__id")
-    repeated = docs.groupBy(id_col).count().where("count > 1")
-    if repeated.isEmpty():
-        return kept
-    from pyspark.sql import Window
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, max_shard: int = MAX_SHARD,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of the smallest id (null last), and among rows
+    that share that id the one with the smallest text hash.  Other components' rows of that id stay."""
+    cols, key = docs.columns, ["__h1", "__h2"]
+    hashed = docs.withColumns({"__h1": F.xxhash64(text_col), "__h2": F.xxhash64(F.lit("second"), text_col)})
+    marked = saved(fingerprints(hashed, shingle, id_col, text_col, also=tuple(key)).withColumnRenamed(id_col, "__id"), "fingerprints")
+    # minima of minima: a class of exact copies, or all rows without an id, are combined in each task first
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", *key)).alias("first")
+    classes = saved(marked.groupBy("fp").agg(first), "classes")
+    chosen = with_roots(classes, distance, max_shard).groupBy("root").agg(F.min("first").alias("first"))
+    chosen = chosen.select(F.col("first.__id").alias("__i"), F.col("first.__h1").alias("__k1"), F.col("first.__h2").alias("__k2"))
+    repeated = marked.groupBy("__id", *key).agg(F.count("*").alias("__n")).where("__n > 1")
+
+    def same(a: DataFrame, b: DataFrame, name: str) -> Column:
+        return a[name].eqNullSafe(b["__i"]) & (a["__h1"] == b["__k1"]) & (a["__h2"] == b["__k2"])
+
+    keep = saved(chosen.join(repeated, same(repeated, chosen, "__id"), "left").select("__i", "__k1", "__k2", F.coalesce("__n", F.lit(1)).alias("__n")), "keep")
+    kept = hashed.join(keep, same(hashed, keep, id_col))
+    if keep.where("__n > 1").isEmpty():
+        return kept.select(*cols)
+    # rows equal in id and text: one of them, by the hash of all columns that have one
+    order = F.xxhash64(*(f.name for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    one = kept.where("__n > 1").groupBy("__i", "__k1", "__k2").agg(F.min_by(F.struct(*cols), order).alias("row"))
+    return kept.where("__n = 1").select(*cols).unionByName(one.select("row.*"))

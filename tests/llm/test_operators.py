@@ -233,6 +233,27 @@ def test_simhash(docs, none):
     assert len(kept) == len(least) and {r.doc_id for r in kept} == {min((x for x in v if x is not None), default=None) for v in least.values()}
 
 
+def test_keep_one_decides_by_component(spark):
+    """Different texts under one id, and without an id, are documents of their own."""
+    rng = random.Random(11)
+    text = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randint(0, 99)) for _ in range(60)) for _ in range(30)]
+    rows = [(3, text[0]), (5, text[0]), (5, text[1]), (7, text[1])]  # id 5 in the components of 3 and of 5
+    rows += [(9, t) for t in text[2:12]]  # several documents under an id
+    rows += [(None, t) for t in text[12:24]]  # and without one
+    rows += [(None, text[12])] * 3 + [(9, text[3])] * 2  # repeated rows
+    rows += [(None, text[24]), (40, text[24]), (41, text[24])]  # a null id gives way
+    rows += [(50, None), (50, ""), (None, "")]
+    df = spark.createDataFrame([(i, t, {"n": 1}) for i, t in rows], "doc_id long, text string, extra map<string,int>").repartition(5)
+    part = brute_components([brute_fingerprint(t) for _, t in rows], 4)
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(df).collect()]
+    of = {r: c for r, c in zip(rows, part)}
+    assert sorted(of[r] for r in kept) == sorted(set(part))  # one row of each component
+    least = defaultdict(list)
+    for (i, _), c in zip(rows, part):
+        least[c].append(i)
+    assert all(i == min((x for x in least[of[i, t]] if x is not None), default=None) for i, t in kept)
+
+
 @pytest.mark.parametrize("max_shard", [20_000, 60])
 def test_simhash_links_of_dense_clusters(spark, max_shard):
     """Chains and balls of near copies among random fingerprints, also with shards dealt into blocks."""
