@@ -13,7 +13,7 @@ text, and at most ``letters_per_language`` of their text, so what is broadcast i
 by the number of languages; labels with few documents are taken whole.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is everything if nothing
-could be learned; ties go to the smaller language name; with one language the score is 1; null labels are never
+could be learned (``drop_unknown`` then keeps every text with a letter); ties go to the smaller language name; with one language the score is 1; null labels are never
 learned; repeated rows get equal results; an empty table gives an empty result; other
 columns are not read, and are kept by ``drop_unknown``.
 """
@@ -115,16 +115,20 @@ class Parser:
             for k, a in enumerate(self.automata):
                 self.table[i, k] += a.phrases(f" {w} ")
 
-    def batch(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
-        """(language, score) of each text; the score is 1 - best entropy / second best."""
+    def totals(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        """Phrases per language, then letters, of each text."""
         if len(self.memo) > MEMO_ENTRIES:
             self._clear()
         split = [(t or b"").translate(PLAIN).split() for t in texts]
         for c in set().union(*split).difference(self.memo):
             self._row(c)
-        out = []
         for chunks in split:
-            total = self.table[[self.memo[c] for c in chunks]].sum(0) if chunks else np.zeros(len(self.names) + 1)
+            yield self.table[[self.memo[c] for c in chunks]].sum(0) if chunks else np.zeros(len(self.names) + 1)
+
+    def batch(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
+        """(language, score) of each text; the score is 1 - best entropy / second best."""
+        out = []
+        for total in self.totals(texts):
             if not total[-1] or not self.names:
                 out.append((UNKNOWN, 0.0))
                 continue
@@ -174,14 +178,16 @@ def predict(docs: DataFrame, training: dict[str, str], id_col: str = "doc_id", t
 
 
 def drop_unknown(docs: DataFrame, training: dict[str, str], text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language is unknown; the rest unchanged."""
+    """``docs`` without the rows whose language is unknown; the rest unchanged.  If nothing could be
+    learned, only null texts and those without a letter go."""
     cols = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(training)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser, at = _parser(shared.value), cols.index(text_col)
         for b in slices(batches, at):
-            known = [x != UNKNOWN for x, _ in parser.batch(byte_texts(b.column(at)))]
+            texts = byte_texts(b.column(at))
+            known = [x != UNKNOWN for x, _ in parser.batch(texts)] if parser.names else [bool(t[-1]) for t in parser.totals(texts)]
             yield b.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -417,6 +417,13 @@ def test_language_id_on_the_given_table(spark, none):
     assert sorted(r.doc_id for r in language.drop_unknown(odd, training).collect()) == [4]
 
 
+def test_language_stage_keeps_documents_of_an_unlabelled_table(spark, docs):
+    import corpus_pipeline as cp
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = cp.language_id(spark, bare, "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((r[0], r[1]) for r in ROWS if any(unicodedata.category(c)[0] == "L" for c in r[1] or ""))
+
+
 def test_toxicity_held_out(spark, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(*toxicity.training_sample(docs, labels))
