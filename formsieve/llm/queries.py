@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, mixing, neighbours, packing, quality, simhash, token_counts, token_files, toxicity
+from . import (language, line_dedup, mixing, neighbours, packing, prefix_trie, quality, simhash, token_counts, token_files, topk, toxicity,
+               whitening)
 from .common import crc_rest, table
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -73,7 +74,24 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_vp_trees, op2_toxicity, op3_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_line_dedup, op8_source_mix, op9_token_files, op10_hilbert_neighbours)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first eight whitened components."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every vector whose id is divisible by 50."""
+    return topk.search(table(spark, sf_dir, "embeddings"), asks=F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_vp_trees, op2_toxicity, op3_best_fit_packing, op4_token_counts, op5_quality_rules, op6_language_id, op7_line_dedup, op8_source_mix, op9_token_files, op10_hilbert_neighbours,
+                                   op11_prefix_trie, op12_whitening, op13_exact_topk)}
 
 #: Lines as the contract of operator 7 describes them; chr(9..13) and the space are its white space.
 _STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -113,4 +131,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR word_chars > 25 * n_words OR 2 * letters < word_chars OR 10 * ends > 3 * n_lines OR 10 * bullets > 9 * n_lines) AS kept
 FROM b"""
 
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5_SQL, "op7_line_dedup": OP7_SQL}
+#: CRC-32 of the decimal id, bit by bit: a code point is mixed in, each -1 shifts once.
+_CRC = """(SELECT xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+       lambda c: list_prepend(CAST(ascii(c) AS BIGINT), list_resize(CAST([] AS BIGINT[]), 8, CAST(-1 AS BIGINT)))))),
+       lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT))"""
+#: Operator 11: a node is a path, the MD5 digests of its turns one after another.
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sym, length(coalesce(text, '')) AS chars,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sym, chars) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (SELECT h.conv_id, pos, sym, chars FROM h JOIN t ON t.conv_id = h.base AND pos <= h.h
+      UNION ALL SELECT h.conv_id, pos, sym, chars FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h.h),
+p AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(sym, '') OVER w AS path, chars FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+a AS (SELECT conv_id, depth, path, chars FROM p UNION ALL SELECT conv_id, 0, '', 0 FROM h),
+n AS (SELECT path, min(conv_id) AS conv_id, max(depth) AS depth, count(*) AS n, max(chars) AS chars FROM a GROUP BY path),
+c AS (SELECT left(path, len(path) - 32) AS path, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(c.n, 0) AS n_children, (n.n - 1) * n.chars AS own FROM n LEFT JOIN c USING (path)),
+u AS (SELECT left(path, 32 * k) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own) AS saved
+      FROM (SELECT *, unnest(generate_series(0, depth)) AS k FROM v) GROUP BY 1),
+e AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+      FROM (SELECT conv_id, arg_max(path, depth) AS path FROM a GROUP BY conv_id) GROUP BY path)
+SELECT v.conv_id, v.depth, CASE WHEN v.depth > 0 THEN up.conv_id END AS parent_conv_id, v.n AS n_convs, v.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM v JOIN u USING (path) LEFT JOIN e USING (path) LEFT JOIN n up ON up.path = left(v.path, greatest(len(v.path) - 32, 0))"""
+
+#: Operator 13: every query with every other vector of its length.
+OP13_SQL = """
+WITH v AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 5"""
+
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": OP5_SQL, "op7_line_dedup": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op13_exact_topk": OP13_SQL}
