@@ -215,8 +215,8 @@ fx AS (SELECT uuid, {_fx('c_name', 'name')}, {_fx('c_nationkey', 'nat')}, {_fx('
               {_fx('c_mktsegment', 'seg')} FROM red GROUP BY uuid)
 SELECT c_custkey,
        CASE WHEN h_name THEN v_name ELSE c_name END AS c_name,
-       CASE WHEN h_nat THEN TRY_CAST(v_nat AS INTEGER) ELSE c_nationkey END AS c_nationkey,
-       CASE WHEN h_bal THEN TRY_CAST(v_bal AS DOUBLE) ELSE c_acctbal END AS c_acctbal,
+       CASE WHEN h_nat AND (v_nat IS NULL OR TRY_CAST(v_nat AS INTEGER) IS NOT NULL) THEN TRY_CAST(v_nat AS INTEGER) ELSE c_nationkey END AS c_nationkey,
+       CASE WHEN h_bal AND (v_bal IS NULL OR TRY_CAST(v_bal AS DOUBLE) IS NOT NULL) THEN TRY_CAST(v_bal AS DOUBLE) ELSE c_acctbal END AS c_acctbal,
        CASE WHEN h_seg THEN v_seg ELSE c_mktsegment END AS c_mktsegment
 FROM customer LEFT JOIN fx ON CAST(c_custkey AS VARCHAR) = fx.uuid"""
 

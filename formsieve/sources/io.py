@@ -8,12 +8,14 @@ take declared schemas so no job is spent on inference and the scan prunes column
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from formsieve.sources import order
+
 # Technical column names the form server writes, mapped to the names
 # the scripts use.
 SERVER_RENAMES = {"_index": "index", "_uuid": "uuid"}
@@ -71,18 +73,30 @@ def normalise_dictionary_header(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_]+", "_", name.strip()).strip("_")
 
 
-def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+_ORDER = (*order.SPLIT, order.ROW)
+
+
+def _ordered(spark: SparkSession, path: str | Sequence[str], fmt: str) -> DataFrame:
+    return order.load_in_order(spark, path, fmt, options={"encoding": "UTF-8"} if fmt == "csv" else None)
+
+
+def _with_ord(df: DataFrame) -> DataFrame:
+    if "ord" not in df.columns:
+        return order.numbered(df)
+    # a text file gives text: row 10 comes after row 9
+    return df.drop(*_ORDER).withColumn("ord", F.col("ord").try_cast("long"))
+
+
+def read_dictionary(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv") -> DataFrame:
     """S3: the code dictionary with an explicit ``ord`` column.
 
-    Files that carry ``ord`` keep it.  Otherwise ``ord`` comes from the read order of a
-    single-split file (the dictionary is a small metadata file); larger dictionaries
-    must store ``ord`` so first-match order survives a distributed read.
+    Files that carry ``ord`` keep it.  Otherwise ``ord`` is the row number in the written
+    order, over all files and splits of ``path`` (see :mod:`formsieve.sources.order`).
     Blank rows are dropped, as they can never match.
     """
-    df = _reader(spark, fmt, None, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
-    df = df.toDF(*[normalise_dictionary_header(c) or f"blank_{i}" for i, c in enumerate(df.columns)])
-    if "ord" not in df.columns:
-        df = df.withColumn("ord", F.monotonically_increasing_id())
+    df = _ordered(spark, path, fmt)
+    df = df.toDF(*[c if c in _ORDER else normalise_dictionary_header(c) or f"blank_{i}" for i, c in enumerate(df.columns)])
+    df = _with_ord(df)
     keep = [c for c in ["ord", "list_name", "name", "label_english", "label_arabic"] if c in df.columns]
     df = df.select(*keep)
     blank = lambda c: F.coalesce(F.length(F.regexp_replace(F.col(c), r"\s", "")), F.lit(0)) == 0
@@ -95,13 +109,12 @@ def read_admin_list(spark: SparkSession, path: str, fmt: str = "csv",
     return _reader(spark, fmt, schema, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
 
 
-def read_correction_log(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_correction_log(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv") -> DataFrame:
     """S2 for an edited log: the ``cleaning_log`` table with an ``ord`` column.
 
     "Last entry wins" needs the log's row order: a stored ``ord`` is kept, otherwise it
-    is the read order of a single-split file (logs are small edited tables)."""
-    df = _reader(spark, fmt, None, {"encoding": "UTF-8"} if fmt == "csv" else None).load(path)
-    return df if "ord" in df.columns else df.withColumn("ord", F.monotonically_increasing_id())
+    is the row number in the written order, over all files and splits of ``path``."""
+    return _with_ord(_ordered(spark, path, fmt))
 
 
 def read_questionnaire(spark: SparkSession, questions_path: str, choices_path: str,

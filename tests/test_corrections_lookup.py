@@ -1,9 +1,10 @@
 """Correction log (J12) and first-match lookups."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from formsieve.operators import joins, lookup, reshape
-from formsieve.operators.corrections import apply_log, unapplied_entries
+from formsieve.operators.corrections import CHANGED, SAME, TRAIL_COLUMNS, UNPARSABLE, apply_log, change_trail, unapplied_entries, undo
 from tests.conftest import rows
 from tests.fixtures import admin_df, dictionary_df
 
@@ -25,12 +26,48 @@ def test_apply_log_cases(spark):
         ("u1", "hh", "12", "TRUE", 4),
         ("u9", "name", "ghost", "TRUE", 5),    # unknown uuid
         ("u3", "nope", "x", "TRUE", 6),        # unknown variable
-        ("u3", "n", "abc", "yes", 7),          # text into a number column -> null
+        ("u3", "n", "abc", "yes", 7),          # text into a number column: the cell stays
+        ("u2", "hh", None, "yes", 8),          # emptied
     ])
     out = apply_log(_data(spark), log)
-    assert rows(out) == [("u1", "A", 12.0, 1), ("u2", "b", 20.0, 2), ("u3", "c", 30.0, None)]
+    assert rows(out) == [("u1", "A", 12.0, 1), ("u2", "b", None, 2), ("u3", "c", 30.0, 3)]
     bad = rows(unapplied_entries(_data(spark), log), "uuid", "reason")
-    assert bad == [("u3", "unknown variable"), ("u9", "unknown id")]
+    assert bad == [("u3", "unknown variable"), ("u3", "value does not parse"), ("u9", "unknown id")]
+    trail = change_trail(_data(spark), log)
+    assert trail.columns == ["uuid", *TRAIL_COLUMNS]
+    assert rows(trail) == [("u1", "hh", "10.0", "12.0", "12", CHANGED), ("u1", "name", "a", "A", "A", CHANGED),
+                           ("u2", "hh", "20.0", None, None, CHANGED), ("u3", "n", "3", "3", "abc", UNPARSABLE)]
+    assert rows(undo(out, trail)) == rows(_data(spark))
+
+
+def test_trail_takes_every_type_back(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        ('u1', 0.1D, 1e300D, 7, true, DATE'2024-02-29', TIMESTAMP'2024-01-02 03:04:05.678901', 1.50BD, array(1), 'x'),
+        ('u2', NULL, -0.0D, NULL, false, NULL, NULL, NULL, NULL, NULL),
+        ('u3', 3.0D, 2.0D, 3, NULL, DATE'1999-12-31', TIMESTAMP'1970-01-01 00:00:00', 2.25BD, array(2), '')
+        AS t(uuid, a, b, i, f, d, t, m, l, s)""")
+    new = {"a": "0.30000000000000004", "b": "5", "i": "9", "f": "false", "d": "2025-01-01", "t": "2025-01-01 10:00:00.000001", "m": "9.99",
+           "l": "[3]", "s": "y"}
+    log = _log(spark, [(u, k, v, "TRUE", 1) for u in ("u1", "u2", "u3") for k, v in new.items()])
+    out = apply_log(df, log)
+    trail = change_trail(df, log)
+    assert [tuple(r)[1:3] for r in out.orderBy("uuid").collect()] == [(0.30000000000000004, 5.0)] * 3
+    assert rows(out, "l") == rows(df, "l")  # a list has no text form that reads back: not written, but reported
+    assert {(r["uuid"], r["variable"]) for r in unapplied_entries(df, log).collect()} == {(u, "l") for u in ("u1", "u2", "u3")}
+    assert rows(trail.groupBy("outcome").count()) == [(CHANGED, 23), (SAME, 1)]
+    assert rows(undo(out, trail)) == rows(df)
+
+
+def test_undo_where_ids_repeat(spark):
+    df = spark.createDataFrame([("u1", 1, "a"), ("u1", 2, "b"), ("u2", 3, "c")], "uuid string, row long, name string")
+    log = _log(spark, [("u1", "name", "z", "TRUE", 1)])
+    out = apply_log(df, log)
+    assert rows(out, "name") == [("c",), ("z",), ("z",)]
+    assert rows(undo(out, change_trail(df, log, row_id="row"), row_id="row")) == rows(df)
+    with pytest.raises(Exception, match="undo needs row_id"):
+        undo(out, change_trail(df, log)).collect()
+    alike = df.withColumn("name", F.lit("a"))
+    assert rows(undo(apply_log(alike, log), change_trail(alike, log))) == rows(alike)
 
 
 def test_empty_log_is_identity(spark):
