@@ -15,8 +15,8 @@ in turn, ``chunk`` times shorter, that are named and summed by the same function
 row and no group holds a whole conversation.  Texts are read once and only their digests
 (MD5 of role and text, 128 bits) and lengths are shuffled.
 
-The digest of a node's ends is a chain over all their ids; ids are sorted by range
-partitions, joined to texts there, and the joined pieces (thousands of ids each) are streamed through SHA-256.
+The digest of a node's ends is a chain over all their ids; ids are sorted and joined to texts by ranges
+of ids, and the pieces (up to thousands of ids each) are streamed through SHA-256.
 
 Edge cases: null role or text is empty; a null turn comes first; turns of equal number go by digest, repeated
 rows stay repeated turns; rows with a null conversation id (or one that is no integer) take no part; conversations
@@ -26,20 +26,23 @@ left without turns are members of the root; an empty table has no root, so no ro
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formsieve.operators.sitecodes import global_rank
-
 from .common import saved
 
 CHUNK = 1024
 GROUP = 100
 MOST_SHARED = 6
+#: Ids of one piece of a node's ends are of one range of so many.
+SPAN = 4096
 #: Name of the root, and hex digits of a digest; a turn's symbol has 8 more for its length.
 ROOT = hashlib.md5(b"", usedforsecurity=False).hexdigest()
 DIGITS = 32
@@ -63,34 +66,100 @@ def path_names(root: str, part: str, size: int) -> list[str]:
 # ------------------------------------------------------------------ sequences
 
 def turns(conversations: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """(conv, pos, sym): every turn's place from 1 and symbol."""
+    """(conv, turn, sym): every turn's number and symbol."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
     digest = F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text))
-    read = conversations.select(F.col(id_col).try_cast("long").alias("conv"), F.col(turn_col).alias("turn"),
-                                F.concat(digest, F.lpad(F.hex(F.length(text)), SYMBOL - DIGITS, "0")).alias("sym"))
-    # one conversation may hold a third of all turns: places come from a total order over range partitions
-    ranked = global_rank(saved(read.filter("conv IS NOT NULL"), "turns"), ["conv", "turn", "sym"], "rn").drop("turn")
-    first = ranked.groupBy("conv").agg((F.min("rn") - 1).alias("before"))
-    return ranked.join(first, "conv").select("conv", (F.col("rn") - F.col("before")).alias("pos"), "sym")
-
-
-def rebuilt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(conversation ids, their turns): the first h turns are those of the group's first conversation."""
-    convs = rows.select("conv").distinct()
-    heads = rows.filter((F.col("conv") % GROUP == 0) & (F.col("pos") < MOST_SHARED)).groupBy(F.col("conv").alias("base")) \
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sym"))), lambda x: x.sym).alias("head"))
-    info = convs.withColumns({"base": F.col("conv") - F.col("conv") % GROUP, "h": (F.crc32(F.col("conv").cast("string").cast("binary")) % MOST_SHARED).cast("int")}) \
-        .join(heads, "base", "left").select("conv", "h", F.slice(F.coalesce("head", F.array().cast("array<string>")), F.lit(1), F.col("h")).alias("head"))
-    info = saved(info, "trie_heads")
-    shared = info.select("conv", F.posexplode("head").alias("pos", "sym")).withColumn("pos", (F.col("pos") + 1).cast("long"))
-    own = rows.join(info.select("conv", "h", F.size("head").alias("k")), "conv").filter(F.col("pos") > F.col("h")) \
-        .select("conv", (F.col("pos") - F.col("h") + F.col("k")).alias("pos"), "sym")
-    return info.select("conv"), shared.unionByName(own)
+    return conversations.select(F.col(id_col).try_cast("long").alias("conv"), F.col(turn_col).alias("turn"),
+                                F.concat(digest, F.lpad(F.hex(F.length(text)), SYMBOL - DIGITS, "0")).alias("sym")).filter("conv IS NOT NULL")
+
+
+#: Kinds of rows of a conversation, in their order: one mark, the group's turns, its own.
+MARK, SHARED, OWN = 0, 1, 2
+
+
+def shared_turns(rows: DataFrame) -> DataFrame:
+    """(conv, kind, place, sym): a mark for every conversation and the turns it takes from its group's first."""
+    # row_number() <= n: a task hands on n rows of a conversation at most
+    place = F.row_number().over(Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "sym"))
+    heads = rows.filter(F.col("conv") % GROUP == 0).withColumn("place", place).filter(F.col("place") < MOST_SHARED) \
+        .groupBy(F.col("conv").alias("base")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sym"))), lambda x: x.sym).alias("head"))
+    convs = rows.select("conv").distinct().withColumn("base", F.col("conv") - F.col("conv") % GROUP)
+    took = F.slice(F.coalesce("head", F.array().cast("array<string>")), F.lit(1), own_turns_replaced())
+    return convs.join(heads, "base", "left").select("conv", F.posexplode(F.concat(F.array(F.lit("")), took)).alias("place", "sym")) \
+        .select("conv", F.when(F.col("place") == 0, MARK).otherwise(SHARED).alias("kind"), "place", "sym")
+
+
+def own_turns_replaced() -> Column:
+    return (F.crc32(F.col("conv").cast("string").cast("binary")) % MOST_SHARED).cast("int")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the rows (conv, kind, sym) of a sorted partition within each conversation and kind.
+
+    Rows of negative kind tell how many rows of its first and last conversation the partition holds."""
+    part = TaskContext.get().partitionId()
+    columns = ["conv", "kind", "at", "shared", "sym", "part"]
+
+    def out(conv, kind, at, shared, sym):
+        return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(kind, pa.int32()), pa.array(at, pa.int64()),
+                                           pa.array(shared, pa.int64()), sym, pa.array(np.full(len(conv), part, np.int32))], names=columns)
+
+    first, conv, counts, first_counts = None, None, [0, 0, 0], None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        convs, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
+        n = len(convs)
+        new = np.flatnonzero(np.concatenate([[True], (convs[1:] != convs[:-1]) | (kinds[1:] != kinds[:-1])]))
+        at, shared = np.arange(1, n + 1), np.zeros(n, np.int64)
+        for s, e in zip(new.tolist(), [*new[1:].tolist(), n]):
+            if convs[s] != conv:
+                if first is not None and first_counts is None:
+                    first_counts = counts
+                conv, counts = int(convs[s]), [0, 0, 0]
+                first = conv if first is None else first
+            at[s:e] += counts[kinds[s]] - s
+            shared[s:e] = counts[SHARED]
+            counts[kinds[s]] += e - s
+        yield out(convs, kinds, at, shared, b.column(2))
+    if first is not None:
+        ends = [(first, first_counts or counts)] + ([(conv, counts)] if first_counts else [])
+        yield out([c for c, _ in ends for _ in (0, 1)], [-SHARED, -OWN] * len(ends), [n for _, c in ends for n in c[1:]],
+                  [0, 0] * len(ends), pa.array([""] * 2 * len(ends), pa.string()))
+
+
+def rebuilt(rows: DataFrame) -> DataFrame:
+    """(conv, pos, sym): the rebuilt conversations' turns from 1, and a mark (pos 0) for every conversation.
+
+    One conversation may hold a third of all turns, so places come from a total order dealt to range partitions, and
+    a conversation that goes on from one partition to the next takes its counts along (at most
+    two rows a partition)."""
+    both = saved(shared_turns(rows), "trie_shared").select("conv", "kind", "place", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"), "sym") \
+        .unionByName(rows.select("conv", F.lit(OWN).alias("kind"), F.lit(0).alias("place"), "turn", "sym"))
+    order = [F.col("conv"), F.col("kind"), F.col("place"), F.col("turn").asc_nulls_first(), F.col("sym")]
+    placed = saved(both.repartitionByRange(*order).sortWithinPartitions(*order).select("conv", "kind", "sym")
+                   .mapInArrow(_counted, "conv long, kind int, at long, shared long, sym string, part int"), "trie_places")
+    so_far: dict[int, list[int]] = {}
+    carried = []
+    ends = defaultdict(dict)
+    for r in placed.filter("kind < 0").toLocalIterator():  # four rows a partition at most
+        ends[r["part"], r["conv"]][-r["kind"]] = r["at"]
+    for (part, conv), n in sorted(ends.items()):
+        before = so_far.get(conv, [0, 0])
+        if any(before):
+            carried.append((part, conv, *before))
+        so_far = {conv: [before[0] + n[SHARED], before[1] + n[OWN]]}
+    carry = F.broadcast(rows.sparkSession.createDataFrame(carried, "part int, conv long, more_shared long, more_own long"))
+    j = placed.filter("kind >= 0").join(carry, ["part", "conv"], "left")
+    h, shared, own = own_turns_replaced(), F.coalesce("more_shared", F.lit(0)), F.coalesce("more_own", F.lit(0))
+    at = F.col("at") + own
+    return j.filter((F.col("kind") != OWN) | (at > h)).select("conv", F.when(F.col("kind") == MARK, 0).when(F.col("kind") == SHARED, F.col("at") + shared)
+                                                              .otherwise(at - h + F.col("shared") + shared).alias("pos"), "sym")
 
 
 def chunked(rows: DataFrame, chunk: int) -> DataFrame:
-    """(conv, chunk, seq): the symbols of up to ``chunk`` turns (conv, pos, sym) in one text."""
-    at = F.expr(f"(pos - 1) div {chunk}")
+    """(conv, chunk, seq): the symbols of up to ``chunk`` turns (conv, pos, sym) in one text; a mark has none."""
+    at = F.expr(f"(greatest(pos, 1) - 1) div {chunk}")
     return rows.groupBy("conv", at.alias("chunk")) \
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sym"))), lambda x: x.sym), "").alias("seq"))
 
@@ -101,20 +170,21 @@ class Height:
     """Sequences cut into chunks at one height: their nodes, their cuts, and the height above (chunks as symbols)."""
 
     def __init__(self, rows: DataFrame, size: int, chunk: int):
-        """``rows``: (conv, chunk, seq)."""
+        """``rows``: (conv, chunk, seq), saved."""
         self.size, self.chunk = size, chunk
-        full = rows.filter(F.length("seq") == size * chunk)
+        longest = (rows.agg(F.max(F.length("seq"))).first()[0] or 0) // size
         self.above = None
-        if full.isEmpty():
+        if longest < chunk:
             self.rows = rows.withColumns({"root": F.lit(ROOT), "end": F.lit(None).cast("string")})
         else:
+            full = rows.filter(F.length("seq") == size * chunk)
             digests = full.select("conv", (F.col("chunk") + 1).alias("pos"), F.md5("seq").alias("sym"))
             self.above = Height(saved(chunked(digests, chunk), "trie_chunks"), DIGITS, chunk)
             ends = self.above.names()
             starts = ends.select("conv", (F.col("chunk") + 1).alias("chunk"), F.col("end").alias("root"))
             self.rows = saved(rows.join(starts, ["conv", "chunk"], "left").join(ends, ["conv", "chunk"], "left")
                               .withColumn("root", F.coalesce("root", F.lit(ROOT))), "trie_rows")
-        self._split()
+        self._split(longest)
 
     def names(self) -> DataFrame:
         """(conv, chunk, end): the name of each full chunk below, from this height's sequences."""
@@ -132,18 +202,22 @@ class Height:
         return self.rows.select("conv", "chunk", "seq", "root", "end").mapInArrow(run, "conv long, end string, chunk long")
 
     def last(self) -> DataFrame:
-        """(conv, whole): the key of the row that holds each conversation's last turn."""
-        return self.rows.groupBy("conv").agg(F.max_by(name(F.col("root"), F.col("seq")), "chunk").alias("whole"))
-
-    def _split(self) -> None:
-        size, rows = self.size, self.rows
+        """(conv, whole): the key of the row that holds each conversation's last turn (the root's name if it has none)."""
+        rows = self.rows.select("conv", "chunk", F.when(F.length("seq") == 0, F.lit(ROOT)).otherwise(name(F.col("root"), F.col("seq"))).alias("whole"))
+        if self.above is None:  # one chunk each
+            return rows.select("conv", "whole")
+        return rows.groupBy("conv").agg(F.max_by("whole", "chunk").alias("whole"))
+
+    def _split(self, longest: int) -> None:
+        size, rows = self.size, self.rows.filter(F.length("seq") > 0)
         # lowers: the cut nodes whose lower forest a row lies in, but for whole chunks; whole: the key of the sequences that end with the row
         block = rows.groupBy("root", "seq").agg(
             F.count(F.lit(1)).alias("n"), F.min("conv").alias("conv"), F.max("end").alias("end"), F.max(F.col("chunk") * self.chunk).alias("start"))
-        block = saved(block.withColumns({"whole": name(F.col("root"), F.col("seq")), "top": F.col("root"), "lowers": F.array().cast("array<string>")}), "trie_block")
-        longest = (block.agg(F.max(F.length("seq"))).first()[0] or 0) // size
-        # a whole chunk's own path, for what hangs below its end
-        self.cuts = [block.filter(F.col("end").isNotNull()).select("end", "root", "seq")]
+        block = block.withColumns({"whole": name(F.col("root"), F.col("seq")), "top": F.col("root"), "lowers": F.array().cast("array<string>")})
+        self.cuts = []
+        if self.above is not None:  # a whole chunk's own path, for what hangs below its end
+            block = saved(block, "trie_block")
+            self.cuts.append(block.filter(F.col("end").isNotNull()).select("end", "root", "seq"))
         half = 1
         while 2 * half <= longest and 2 * half < self.chunk:
             half *= 2
@@ -169,15 +243,15 @@ class Height:
         return parts.groupBy("root", "seq").agg(F.sum("n").alias("n"), F.min("conv").alias("conv"), F.max("whole").alias("whole"), F.max("end").alias("end"),
                                                 F.first("start").alias("start"), F.first("top").alias("top"), F.first("lowers").alias("lowers"))
 
-    def totals(self, values: DataFrame) -> DataFrame:
-        """(name, leaves, saved) summed over subtrees; ``values`` holds the nodes' own."""
+    def totals(self, own: DataFrame) -> DataFrame:
+        """(name, leaves, saved) summed over subtrees; ``own`` holds the nodes with their own (name, top, lowers, leaves, saved)."""
         sums = [F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved")]
-        own = self.nodes.select(F.col("end").alias("name"), "top", "lowers").join(values, "name")
         below = own.select(F.explode("lowers").alias("end"), "leaves", "saved").groupBy("end").agg(*sums)
         if self.above is not None:
             # all below a whole chunk: its own forest of chunks, and the forests below that
             forest = own.filter(F.col("top") != ROOT).groupBy(F.col("top").alias("name")).agg(*sums)
-            below = below.unionByName(self.above.totals(forest).withColumnRenamed("name", "end"))
+            chunks = self.above.nodes.select(F.col("end").alias("name"), "top", "lowers").join(forest, "name")
+            below = below.unionByName(self.above.totals(chunks).withColumnRenamed("name", "end"))
         paths = reduce(DataFrame.unionByName, self.cuts).join(below, "end")
         size = self.size
 
@@ -197,16 +271,8 @@ class Height:
 def id_digests(ends: DataFrame) -> DataFrame:
     """(whole, ends_sha256): SHA-256 of the ascending ids of each key, comma-joined.
 
-    Ids of one key may be a third of all: they are sorted and joined to texts in range partitions; only
-    those texts, one per key and Arrow batch, are streamed through the key's hash in one task."""
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, ids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-            if starts:
-                yield pa.RecordBatch.from_pydict({"whole": [keys[s] for s in starts], "least": pa.array([ids[s] for s in starts], pa.int64()),
-                                                  "ids": [",".join(map(str, ids[s:e])) for s, e in zip(starts, [*starts[1:], len(keys)])]})
+    Ids of one key may be a third of all: they are joined to texts by ranges of ``SPAN`` consecutive ids, and only those
+    texts are streamed, in order, through the key's hash in one task."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
@@ -224,8 +290,9 @@ def id_digests(ends: DataFrame) -> DataFrame:
         if state is not None:
             yield pa.RecordBatch.from_pydict({"whole": [key], "ends_sha256": [state.hexdigest()]})
 
-    pieces = ends.repartitionByRange("whole", "conv").sortWithinPartitions("whole", "conv").mapInArrow(joined, "whole string, least long, ids string")
-    return pieces.repartition("whole").sortWithinPartitions("whole", "least").mapInArrow(hashed, "whole string, ends_sha256 string")
+    span = F.floor(F.col("conv") / SPAN)
+    pieces = ends.groupBy("whole", span.alias("span")).agg(F.array_join(F.sort_array(F.collect_list("conv")).cast("array<string>"), ",").alias("ids"))
+    return pieces.repartition("whole").sortWithinPartitions("whole", "span").mapInArrow(hashed, "whole string, ends_sha256 string")
 
 
 # ------------------------------------------------------------------ the trie
@@ -234,23 +301,24 @@ def build(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tu
           chunk: int = CHUNK) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
     ``chunk`` is a power of two."""
-    convs, rows = rebuilt(saved(turns(conversations, id_col, turn_col, role_col, text_col), "trie_turns"))
-    trie = Height(saved(chunked(rows, chunk), "trie_sequences"), SYMBOL, chunk)
-    root = convs.agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n")).filter("n > 0") \
-        .select(F.lit(ROOT).alias("end"), F.lit(None).cast("string").alias("root"), F.lit(0).cast("long").alias("depth"), "n", "conv",
-                F.lit(0).cast("long").alias("chars"), F.lit(ROOT).alias("whole"))
+    sequences = saved(chunked(rebuilt(saved(turns(conversations, id_col, turn_col, role_col, text_col), "trie_turns")), chunk), "trie_sequences")
+    trie = Height(sequences, SYMBOL, chunk)
+    none = F.lit(None).cast("string")
+    root = sequences.filter("chunk = 0").agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n")).filter("n > 0") \
+        .select(F.lit(ROOT).alias("end"), none.alias("root"), F.lit(0).cast("long").alias("depth"), "n", "conv", F.lit(0).cast("long").alias("chars"),
+                F.lit(ROOT).alias("whole"), none.alias("top"), F.array().cast("array<string>").alias("lowers"))
     chars = F.conv(F.substring("seq", DIGITS + 1, SYMBOL - DIGITS), 16, 10).cast("long")
-    below = trie.nodes.select("end", "root", (F.col("start") + 1).cast("long").alias("depth"), "n", "conv", chars.alias("chars"), "whole")
+    below = trie.nodes.select("end", "root", (F.col("start") + 1).cast("long").alias("depth"), "n", "conv", chars.alias("chars"), "whole", "top", "lowers")
     children = below.groupBy(F.col("root").alias("end")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = saved(below.unionByName(root).join(children, "end", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))), "trie_nodes")
-    values = nodes.select(F.col("end").alias("name"), (F.col("n_children") == 0).cast("long").alias("leaves"), ((F.col("n") - 1) * F.col("chars")).alias("saved"))
+    nodes = below.unionByName(root).join(children, "end", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
+    nodes = saved(nodes.withColumns({"leaves": (F.col("n_children") == 0).cast("long"), "saved": (F.col("n") - 1) * F.col("chars")}), "trie_nodes")
+    own = nodes.withColumnRenamed("end", "name")
     # the root is on no path: it gets the sum of all
-    all_of_it = values.agg(F.lit(ROOT).alias("name"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-    totals = trie.totals(values.filter(F.col("name") != ROOT)).unionByName(all_of_it)
-    last = trie.last()
-    ends = saved(convs.join(last, "conv", "left").select(F.coalesce("whole", F.lit(ROOT)).alias("whole"), "conv"), "trie_ends")
+    all_of_it = own.agg(F.lit(ROOT).alias("name"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
+    totals = trie.totals(own.filter(F.col("name") != ROOT).select("name", "top", "lowers", "leaves", "saved")).unionByName(all_of_it)
     parents = nodes.select(F.col("end").alias("root"), F.col("conv").alias("parent"))
     empty = hashlib.sha256(b"").hexdigest()
-    return nodes.join(totals.withColumnRenamed("name", "end"), "end").join(parents, "root", "left").join(id_digests(ends), "whole", "left") \
+    return nodes.drop("leaves", "saved").join(totals.withColumnRenamed("name", "end"), "end").join(parents, "root", "left") \
+        .join(id_digests(trie.last()), "whole", "left") \
         .select(F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), F.col("n").alias("n_convs"), "n_children",
                 F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256"))
