@@ -223,7 +223,7 @@ def _scatter(values, dims: int):
 def _collected(vectors: DataFrame, values, dims: int) -> np.ndarray:
     """The summed matrix: ``dims * (dims + 1) / 2`` rows reach the driver."""
     out = np.zeros((dims, dims))
-    for r in vectors.mapInArrow(_scatter(values, dims), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toLocalIterator():
+    for r in vectors.mapInArrow(_scatter(values, dims), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
         out[r["i"], r["j"]] = out[r["j"], r["i"]] = r["v"]
     return out
 
@@ -244,11 +244,12 @@ def fit(vectors: DataFrame, k: int = COMPONENTS, vector_col: str = "embedding")
     only = vectors.select(vector_col)
     sums = only.mapInArrow(_sums, "dims int, i int, n long, s string").groupBy("dims", "i") \
         .agg(F.sum("n").alias("n"), F.sum(F.col("s").cast("decimal(38,0)")).alias("s"))
-    kept = sums.groupBy("dims").agg(F.max("n").alias("n")).orderBy(F.desc("n"), F.desc("dims")).first()
+    # one row: the sums of the most frequent length
+    kept = sums.groupBy("dims").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("i", "s"))).alias("sums")) \
+        .orderBy(F.desc("n"), F.desc("dims")).first()
     if kept is None:
         return None
-    # one row per dimension
-    centred = Centred(kept["n"], [int(r["s"]) for r in sums.filter(F.col("dims") == kept["dims"]).orderBy("i").toLocalIterator()])
+    centred = Centred(kept["n"], [int(x["s"]) for x in kept["sums"]])
     n, dims = centred.n, centred.dims
     covariance = _collected(only, lambda b: (z for _, _, z in centred.rows(b.column(0))), dims) / n
     e, u = components(covariance, k)
