@@ -142,7 +142,7 @@ def rebuilt(rows: DataFrame) -> DataFrame:
     so_far: dict[int, list[int]] = {}
     carried = []
     ends = defaultdict(dict)
-    for r in placed.filter("kind < 0").toLocalIterator():  # four rows a partition at most
+    for r in placed.filter("kind < 0").collect():  # four rows a partition at most
         ends[r["part"], r["conv"]][-r["kind"]] = r["at"]
     for (part, conv), n in sorted(ends.items()):
         before = so_far.get(conv, [0, 0])
