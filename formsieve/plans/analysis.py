@@ -15,7 +15,7 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,28 +82,21 @@ def _value_text(df: DataFrame, c: str):
     return num_to_text(c, df.schema[c].dataType)
 
 
-def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, str | None]],
-                      num_rows: Sequence[tuple[str, str | None, str | None]] = ()) -> DataFrame:
-    """D8 + D9 (+ D10, D17, N5) for many plan rows, categorical and numerical, in ONE
-    scan and ONE partial aggregate.
+def plan_cells(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, str | None]],
+               num_rows: Sequence[tuple[str, str | None, str | None]] = (), also: Mapping[str, Column] | None = None):
+    """The present answers of every plan row as rows, and the plan rows by number.
 
     Each plan row ``(dependent, independent, repeat)`` gets a number; per data row it
     yields one struct (row number, repeat value, group value, and the answer for a
     categorical row or the number for a numerical one), kept when the value and the
-    group are present.  The structs are exploded inside the scan's stage and reduced by one
-    partial aggregate keyed by (row number, repeat value, group value, answer): a count,
-    plus mean and sample sd of the number when the plan has numerical rows.  Only then
-    are the row numbers mapped back to their names (a literal array lookup on aggregated
-    rows).  A categorical share divides by the total per plan row and group - a window
-    over the aggregated counts; a numerical row is its group's mean, ``se = sd/sqrt(n)``.
-    Output: :data:`RESULT_COLUMNS` + ``is_percent``."""
+    group are present.  The structs are exploded inside the scan's stage.  ``also`` names
+    further columns that every struct carries (a weight, a stratum)."""
     def text(c):
         return _value_text(df, c) if c else F.lit(None).cast("string")
 
     specs = [("c", *r) for r in dict.fromkeys(map(tuple, cat_rows))] + \
             [("n", *r) for r in dict.fromkeys(map(tuple, num_rows))]
     has_num = any(k == "n" for k, *_ in specs)
-    has_cat = any(k == "c" for k, *_ in specs)
     # A group or repeat column every plan row needs: rows where it is null count
     # nowhere, so they are dropped before the unpivot (the test reaches the scan).
     needed = set.intersection(*[{c for c in (ind, rep) if c} for _, _, ind, rep in specs]) if specs else set()
@@ -116,12 +109,35 @@ def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, s
                   (text(dep) if kind == "c" else F.lit(None).cast("string")).alias("val")]
         if has_num:
             fields.append((to_number(dep) if kind == "n" else F.lit(None).cast("double")).alias("x"))
-        entries.append(F.struct(*fields))
+        entries.append(F.struct(*fields, *[v.alias(k) for k, v in (also or {}).items()]))
     # a plain array of structs (never null) exploded in the scan's codegen stage; the
     # filter keeps present answers / numbers within present groups
     long = df.select(F.inline(F.array(*entries)))
     present = F.col("val").isNotNull() | (F.col("x").isNotNull() if has_num else F.lit(False))
-    long = long.filter(present & (~F.col("ng") | F.col("g").isNotNull()) & (~F.col("nr") | F.col("r").isNotNull()))
+    return long.filter(present & (~F.col("ng") | F.col("g").isNotNull()) & (~F.col("nr") | F.col("r").isNotNull())), specs
+
+
+def plan_meta(specs, id_col: str = "id") -> Column:
+    """The names of a plan row by its number: a literal array lookup on aggregated rows."""
+    return F.element_at(F.array(*[F.struct(F.lit(k == "c").alias("share"), F.lit(rep).cast("string").alias("rv"),
+                                           F.lit(ind).cast("string").alias("gv"), F.lit(dep).alias("var"))
+                                  for k, dep, ind, rep in specs]), F.col(id_col) + 1)
+
+
+def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, str | None]],
+                      num_rows: Sequence[tuple[str, str | None, str | None]] = ()) -> DataFrame:
+    """D8 + D9 (+ D10, D17, N5) for many plan rows, categorical and numerical, in ONE
+    scan and ONE partial aggregate.
+
+    The present answers (:func:`plan_cells`) are reduced by one
+    partial aggregate keyed by (row number, repeat value, group value, answer): a count,
+    plus mean and sample sd of the number when the plan has numerical rows.  Only then
+    are the row numbers mapped back to their names.  A categorical share divides by the total per plan row and group - a window
+    over the aggregated counts; a numerical row is its group's mean, ``se = sd/sqrt(n)``.
+    Output: :data:`RESULT_COLUMNS` + ``is_percent``."""
+    long, specs = plan_cells(df, cat_rows, num_rows)
+    has_num = any(k == "n" for k, *_ in specs)
+    has_cat = any(k == "c" for k, *_ in specs)
     aggs = [F.count(F.lit(1)).alias("_n")]
     if has_num:
         aggs += [F.avg("x").alias("_m"), F.stddev_samp("x").alias("_sd")]
@@ -130,9 +146,7 @@ def plan_rows_results(df: DataFrame, cat_rows: Sequence[tuple[str, str | None, s
         # the total per plan row and group is a window over the aggregated counts: a
         # window partition holds one group's distinct answers, never raw rows
         counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy("id", "r", "g")))
-    meta = F.element_at(F.array(*[F.struct(F.lit(k == "c").alias("share"), F.lit(rep).cast("string").alias("rv"),
-                                           F.lit(ind).cast("string").alias("gv"), F.lit(dep).alias("var"))
-                                  for k, dep, ind, rep in specs]), F.col("id") + 1)
+    meta = plan_meta(specs)
     share = meta["share"]
     p = F.col("_n") / F.col("_total")
     se_p = F.sqrt(p * (F.lit(1) - p) / F.col("_total"))
@@ -192,13 +206,12 @@ def numeric_means(df: DataFrame, dependents: Sequence[str], independent: str | N
         (F.col("_r") if repeat else F.lit(None).cast("string")).alias("repeat.var.value"))
 
 
-def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
-    """Every plan row, categorical or numerical, in one scan and one shuffle.
+def plan_variables(df: DataFrame, plan, report: list | None = None) -> tuple[list[tuple], list[tuple]]:
+    """(categorical, numerical) plan rows as (dependent, independent, repeat) of existing columns.
 
     Plan rows naming absent columns are skipped and listed in ``report`` (B13)."""
-    rows = plan_rows(plan)
     buckets: dict[tuple, list[str]] = {}
-    for r in rows:
+    for r in plan_rows(plan):
         dep = _resolve(df, r.dependent)
         ind = _resolve(df, r.independent) if r.independent else None
         rep = _resolve(df, r.repeat) if r.repeat else None
@@ -214,7 +227,14 @@ def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
     num_rows = [(d, ind, rep) for (ind, rep, kind), deps in buckets.items() if kind == "numerical" for d in deps]
     if not cat_rows and not num_rows:
         raise ValueError("no plan row names an existing column")
-    return plan_rows_results(df, cat_rows, num_rows)
+    return cat_rows, num_rows
+
+
+def run_plan(df: DataFrame, plan, report: list | None = None) -> DataFrame:
+    """Every plan row, categorical or numerical, in one scan and one shuffle.
+
+    Plan rows naming absent columns are skipped and listed in ``report`` (B13)."""
+    return plan_rows_results(df, *plan_variables(df, plan, report))
 
 
 # ---------------------------------------------------------------- D16 automatic plan
