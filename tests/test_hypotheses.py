@@ -23,7 +23,7 @@ def brute_q(a, x):
     return 1 - math.exp(a * math.log(x) - x - math.lgamma(a + 1)) * total
 
 
-def simpson(f, lo, hi, n=200_000):
+def simpson(f, lo, hi, n=20_000):
     h = (hi - lo) / n
     return h / 3 * math.fsum(f(lo + i * h) * (1 if i in (0, n) else 4 if i % 2 else 2) for i in range(n + 1))
 
