@@ -22,6 +22,8 @@ from formsieve.session import materialize
 # The code range of new sites; numbering restarts after the last code.
 FIRST_SITE_NUMBER = 1185
 LAST_SITE_NUMBER = 5000
+# A site code: district, then ``_`` or ``-``, then the number.
+CODE_PATTERN = r"^(.*)[_-](\d+)$"
 
 
 def _sort_exprs(order: Sequence) -> list[Column]:
@@ -76,6 +78,64 @@ def assign_site_codes(df: DataFrame, code_col: str, name_col: str, district_col:
     return have.unionByName(numbered.select(*[col(c) for c in df.columns]))
 
 
+def used_numbers(codes: DataFrame, code_col: str) -> DataFrame:
+    """(district, n): the numbers that codes such as ``<district>_<n>`` or ``<district>-<n>`` hold, each once."""
+    code = col(code_col)
+    return codes.select(F.regexp_extract(code, CODE_PATTERN, 1).alias("_district"),
+                        F.regexp_extract(code, CODE_PATTERN, 2).try_cast("long").alias("_n")) \
+        .filter(F.col("_n").isNotNull()).distinct()
+
+
+def free_ranges(used: DataFrame, districts: DataFrame, first: int, last: int) -> DataFrame:
+    """(district, start, end, before): the gaps between used numbers, with the free numbers before each.
+
+    The used numbers and two guards are sorted per district (at most ``last - first + 3`` rows),
+    and what lies between neighbours is free: a row per gap, however wide."""
+    inside = used.join(districts, "_district", "left_semi").filter(F.col("_n").between(first, last))
+    guards = districts.select("_district", F.explode(F.array(F.lit(first - 1), F.lit(last + 1)).cast("array<long>")).alias("_n"))
+    order = Window.partitionBy("_district").orderBy("_n")
+    gaps = inside.unionByName(guards).withColumn("_next", F.lead("_n").over(order)) \
+        .select("_district", (F.col("_n") + 1).alias("start"), (F.col("_next") - 1).alias("end")).filter("end >= start")
+    so_far = Window.partitionBy("_district").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    return gaps.withColumn("before", F.coalesce(F.sum(F.col("end") - F.col("start") + 1).over(so_far), F.lit(0)))
+
+
+def assign_free_codes(df: DataFrame, held: DataFrame, code_col: str, name_col: str, district_col: str, ord_col: str,
+                      first: int = FIRST_SITE_NUMBER, last: int = LAST_SITE_NUMBER,
+                      num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """N2 over runs: rows without a code get the lowest numbers that their district has free.
+
+    ``held`` has the codes given out before (a master's ``code_col``); codes in ``df`` count too.  Within a
+    district sites are taken in the order of N2 (name, nulls first, then original row).  A district whose
+    numbers run out leaves the last of its sites without a code: never a code twice.
+
+    Returns (rows with codes, report): the report has a row per district with too few free numbers: (district, n_sites,
+    n_free, n_without_code).
+
+    Numbers are matched by (district, place): places come from one global rank, free numbers from the gaps
+    between used ones, expanded only as far as there are sites - no district is sorted whole
+    in one task."""
+    district = F.coalesce(col(district_col).cast("string"), F.lit("NA"))
+    missing = df.filter(col(code_col).isNull()).withColumn("_district", district)
+    ranked = global_rank(missing, ["_district", name_col, ord_col], "_rn", num_partitions)
+    need = materialize(ranked.groupBy("_district").agg((F.min("_rn") - 1).alias("_before"), F.count(F.lit(1)).alias("n_sites")))
+    used = used_numbers(held.select(col(code_col).alias(code_col)).unionByName(df.select(col(code_col).alias(code_col)).filter(col(code_col).isNotNull())), code_col)
+    gaps = free_ranges(used, need.select("_district"), first, last).join(need.select("_district", "n_sites"), "_district")
+    left = F.col("n_sites") - F.col("before")
+    numbers = gaps.filter(left > 0).select(
+        "_district", "before", F.posexplode(F.sequence("start", F.least(F.col("end"), F.col("start") + left - 1))).alias("_i", "_number")) \
+        .select("_district", (F.col("before") + F.col("_i") + 1).alias("_k"), "_number")
+    placed = ranked.join(need.select("_district", "_before"), "_district").withColumn("_k", F.col("_rn") - F.col("_before"))
+    coded = placed.join(numbers, ["_district", "_k"], "left") \
+        .withColumn(code_col, F.when(F.col("_number").isNotNull(), paste(F.col("_district"), "_", F.col("_number"))))
+    out = df.filter(col(code_col).isNotNull()).unionByName(coded.select(*[col(c) for c in df.columns]))
+    free = gaps.groupBy("_district").agg(F.sum(F.col("end") - F.col("start") + 1).alias("n_free"))
+    report = need.join(free, "_district", "left").select(
+        F.col("_district").alias("district"), "n_sites", F.coalesce("n_free", F.lit(0)).alias("n_free")) \
+        .withColumn("n_without_code", F.col("n_sites") - F.col("n_free")).filter("n_without_code > 0")
+    return out, report
+
+
 def dashed_code(c) -> Column:
     """first ``_`` of a code becomes ``-``."""
     return replace_first(c, "_", "-")

@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from formsieve.plans.catalog import QUERIES
-from formsieve.plans.oracle import ORACLE_SQL
+from formsieve.plans.registry import ORACLE_SQL, QUERIES
 from tools.check_oracle import TABLES, table_hash
 
 SF = "/root/testdata/sf0.001"
