@@ -107,7 +107,7 @@ def _order_log(spark: SparkSession, sf: str) -> DataFrame:
     return li.select(F.col("l_orderkey").cast("string").alias("uuid"), F.lit("o_totalprice").alias("variable"),
                      F.when(F.col("l_linenumber") == 3, "unknown").otherwise(F.col("l_quantity").cast("long").cast("string")).alias("new_value"),
                      F.when(F.col("l_returnflag") == "N", "TRUE").otherwise("FALSE").alias("change"),
-                     (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("ord"))
+                     (F.col("l_partkey") * 100_000_000 + F.col("l_suppkey") * 1_000 + F.col("l_linenumber") * 100 + F.col("l_quantity").cast("long")).alias("ord"))
 
 
 def master_corrected(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,7 +120,7 @@ def master_corrected(spark: SparkSession, sf: str) -> DataFrame:
 
 MASTER_CORRECTED = """
 WITH l AS (SELECT l_orderkey, arg_max(CASE WHEN l_linenumber = 3 THEN 'unknown' ELSE CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) END,
-                                      l_partkey * 1000000 + l_suppkey * 10 + l_linenumber) AS v
+                                      l_partkey * 100000000 + l_suppkey * 1000 + l_linenumber * 100 + CAST(trunc(l_quantity) AS BIGINT)) AS v
            FROM lineitem WHERE l_returnflag = 'N' GROUP BY l_orderkey)
 SELECT orders.* REPLACE (coalesce(TRY_CAST(v AS DOUBLE), o_totalprice) AS o_totalprice) FROM orders LEFT JOIN l ON o_orderkey = l_orderkey"""
 
