@@ -67,14 +67,14 @@ def byte_texts(column: pa.Array) -> list[bytes | None]:
 SLICE_BYTES = 1 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about ``SLICE_BYTES`` of the text column, so that words
+def slices(batches: Iterator[pa.RecordBatch], text: int = 1, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``size`` bytes of the text column, so that words
     of thousands of documents never stand in memory together."""
     for b in batches:
         if not b.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        part = (np.cumsum(sizes) - sizes) // size
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), b.num_rows]
         for s, e in zip(cuts, cuts[1:]):
             yield b.slice(s, e - s)

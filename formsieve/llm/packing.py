@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved, slices
-from .word_ids import word_ids
+from .common import saved, slices
+from .word_ids import ENCODE_BYTES, word_ids
 
 CAPACITY = 2048
 FULL_AT = 0.995
@@ -101,9 +101,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             return out
 
         id_parts, rows, owners, seen = [], [], [], 0
-        for b in slices(batches):
+        for b in slices(batches, size=ENCODE_BYTES):
             id_parts.append(b.column(0))
-            for k, ids in enumerate(encoder.batch(byte_texts(b.column(1)))):
+            for k, ids in enumerate(encoder.batch(b.column(1))):
                 for row in _pieces(ids, encoder.dtype, end_id, capacity):
                     rows.append(row)
                     owners.append(seen + k)

@@ -1,6 +1,6 @@
 """Operator 9: token ids in Arrow files of fixed-size lists.
 
-Documents are range-partitioned and sorted by id; each task encodes its range and writes
+Documents are encoded where they are read; their ids are range-partitioned and sorted by document id, and each task writes
 one shard: an Arrow file whose batches hold ``ids`` (fixed-size list of ``row_len`` ids,
 uint16 or uint32 by vocabulary size) and ``mask`` (fixed-size list of booleans, true where
 an id stands).  All rows have equal length and all batches but the last equal row counts,
@@ -14,12 +14,13 @@ speculative task never touches another attempt's files; the manifest (one row pe
 is saved, and only files it names are read.  Shards are streamed: a task holds one batch.
 
 Edge cases: null and empty texts give the end id alone; a null id sorts first; rows with
-the same id are separate documents, ordered by text; an empty table gives no shards; other
+the same id are separate documents, ordered by a hash of the text, then by their ids; an empty table gives no shards; other
 columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved, shared_path, slices
-from .word_ids import word_ids
+from .common import saved, shared_path, slices
+from .word_ids import ENCODE_BYTES, word_ids
 
 ROW_LEN = 2048
 BATCH_ROWS = 64
@@ -42,6 +43,7 @@ MANIFEST = "shard long, token_file string, doc_file string, n_docs long, n_ids l
 
 def _open(path: str):
     """(file system, path on it) of a URI or plain path; works in any task."""
+    path = re.sub("^s3[an]://", "s3://", path)  # Hadoop's names for one store
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
@@ -63,7 +65,7 @@ class ShardWriter:
             [pa.FixedSizeListArray.from_arrays(pa.array(full, self.item), self.row_len),
              pa.FixedSizeListArray.from_arrays(pa.array(mask), self.row_len)], schema=self.schema))
 
-    def add(self, ids: bytes) -> None:
+    def add(self, ids: bytes | pa.Buffer) -> None:
         self.held += ids
         self.n += len(ids) // self.dtype.itemsize
         step = self.size * self.dtype.itemsize
@@ -112,22 +114,30 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     folder = folder or shared_path(spark, "tokens")
     id_type = docs.schema[id_col].dataType
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
-        end = np.array([end_id], encoder.dtype).tobytes()
+        for b in slices(batches, size=ENCODE_BYTES):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(encoder.batch(b.column(1)), pa.binary())], names=[id_col, "tie", "ids"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dtype = word_ids(tokenizer).dtype
+        end = np.array([end_id], dtype).tobytes()
         tokens, index, names, n_docs = None, None, None, 0
-        for b in slices(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
             if tokens is None:
                 names = [f"{folder}/{kind}-{uuid.uuid4().hex}.arrow" for kind in ("ids", "docs")]
                 where, _ = _open(folder)
                 where.create_dir(_open(folder)[1], recursive=True)
                 sinks = [where.open_output_stream(_open(x)[1]) for x in names]
-                tokens = ShardWriter(sinks[0], encoder.dtype, row_len, BATCH_ROWS)
-                index = pa.ipc.new_file(sinks[1], pa.schema([("doc", b.schema.field(0).type), ("start", pa.int64()), ("n", pa.int64())]))
-            starts, sizes = [], []
-            for ids in encoder.batch(byte_texts(b.column(1))):
+                tokens = ShardWriter(sinks[0], dtype, row_len, BATCH_ROWS)
+                index = pa.ipc.new_file(sinks[1], index_schema(b))
+            starts, sizes, ids = [], [], b.column(1)
+            for i in range(b.num_rows):
                 starts.append(tokens.n)
-                tokens.add(ids + end)
+                tokens.add(ids[i].as_buffer())
+                tokens.add(end)
                 sizes.append(tokens.n - starts[-1])
             index.write_batch(pa.RecordBatch.from_arrays([b.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=index_schema(b)))
             n_docs += b.num_rows
@@ -142,9 +152,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     def index_schema(b: pa.RecordBatch) -> pa.Schema:
         return pa.schema([("doc", b.schema.field(0).type), ("start", pa.int64()), ("n", pa.int64())])
 
-    order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
-    manifest = saved(docs.select(id_col, text_col).repartitionByRange(*order)
-                     .sortWithinPartitions(order[0], order[1], text_col).mapInArrow(write, MANIFEST), "manifest")
+    # ids are half the size of texts, and the order's sample and the shuffle read them instead
+    kept = T.StructType([T.StructField(id_col, id_type), T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType())])
+    encoded = saved(docs.select(id_col, text_col, F.xxhash64(text_col).alias("tie")).mapInArrow(encode, kept), "encoded")
+    order = [F.col(id_col).asc_nulls_first(), F.col("tie"), F.col("ids")]
+    manifest = saved(encoded.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select(id_col, "ids").mapInArrow(write, MANIFEST), "manifest")
     # one row per shard: the window holds as many rows as there were tasks
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

@@ -2,9 +2,11 @@
 
 The word vocabulary (``word_bpe_49k.json``) drops white space before anything else and its
 pre-token pattern never spans it, so the ids of a text are the ids of its white-space
-separated chunks, one after another.  Chunks recur, so each task keeps a memo
-chunk -> ids; a chunk that isn't in it goes through the library.  The memo is a speed
-device only: it is dropped when full, and the ids are the library's for any text.
+separated chunks, one after another.  A column of texts is split, and its distinct chunks are
+numbered, by Arrow; each distinct chunk's ids are looked up once, and numpy puts the ids of all
+occurrences together.  Chunks recur, so each task keeps a memo chunk -> ids; a chunk that
+isn't in it goes through the library.  The memo is a speed device only: when its young half is full it becomes the old half,
+and what isn't asked for again goes with that.  The ids are the library's for any text.
 
 Three facts about the file are checked when it is loaded (``_check``); a file without them is
 encoded by the library text by text:
@@ -20,9 +22,13 @@ import json
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 500_000
+#: Text that is encoded at a time: the more of it, the more often its chunks recur.
+ENCODE_BYTES = 4 << 20
 #: The pre-token pattern under which white-space chunks are independent (a fixed value of the vocabulary file).
 CHUNK_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -35,8 +41,8 @@ def load_tokenizer(path: str) -> Tokenizer:
     return tok
 
 
-def _check(spec: dict) -> list[bytes] | None:
-    """First two bytes of each added token if chunks may be encoded alone, else None."""
+def _check(spec: dict) -> list[str] | None:
+    """First two characters of each added token if chunks may be encoded alone, else None."""
     norm = spec.get("normalizer") or {}
     kinds = [n.get("type") for n in norm.get("normalizers", [norm])]
     pre = spec.get("pre_tokenizer") or {}
@@ -46,7 +52,7 @@ def _check(spec: dict) -> list[bytes] | None:
           and split.get("pattern", {}).get("Regex") == CHUNK_PATTERN
           and split.get("behavior") == "Removed" and split.get("invert") is True
           and all(p.get("add_prefix_space", False) is False for p in parts[1:]))
-    added = [t["content"].encode() for t in spec.get("added_tokens", [])]
+    added = [t["content"] for t in spec.get("added_tokens", [])]
     if not ok or any(a.split() != [a] for a in added):
         return None
     return sorted({a[:2] for a in added})
@@ -63,8 +69,12 @@ def byte_letters() -> list[str]:
 BYTE_LETTER = byte_letters()
 
 
+#: ASCII that is no letter, digit, white space or apostrophe: after letters, a run of it is a pre-token of its own.
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+
+
 class WordIds:
-    """``ids(text_bytes)``: the library's ids (no special tokens added) as a numpy array."""
+    """``batch(texts)``: the library's ids (no special tokens added) of each text, as bytes."""
 
     def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
         self.tok = load_tokenizer(path)
@@ -72,54 +82,92 @@ class WordIds:
             self.added = _check(json.load(f))
         #: uint16 holds every id of a vocabulary of up to 65,536 entries
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size(True) <= 1 << 16 else np.dtype("<u4")
-        self.memo: dict[bytes, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.limit = memo_entries
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
-    def _miss(self, chunks: set[bytes]) -> None:
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of a chunk of lower-case Latin letters, else None.
+
+        Latin letters up to U+024F hold no combining marks and one pre-token: only the merges are left to do
+        (a dotted capital I lower-cases to two code points, one of them a mark)."""
+        if not word.isascii():
+            low = word.lower()
+            if not low.isalpha() or max(word) >= "\u0250":
+                return None
+            word = "".join([BYTE_LETTER[b] for b in low.encode()])
+        elif not word.isalpha():
+            return None
+        return array(self.code, [t.id for t in self.tok.model.tokenize(word)]).tobytes()
+
+    def _miss(self, chunks: list[bytes]) -> None:
         """Adds the ids of unknown chunks to the memo."""
-        memo, todo, merge = self.memo, [], self.tok.model.tokenize
-        code = "H" if self.dtype.itemsize == 2 else "I"
+        memo, rest = self.young, []
         for c in chunks:
-            head, last = c[:-1], c[-1:]
-            # a pre-token never joins a letter and the punctuation after it
-            if last in b".," and (h := head.decode()).lower().isalpha() and max(h) < "\u0250":
-                todo += [x for x in (head, last) if x not in memo]
-            else:
-                todo.append(c)
-        rest = []
-        for c in dict.fromkeys(todo):
-            w = c.decode()
-            # Latin letters up to U+024F hold no combining marks and one pre-token: only the merges are left to do
-            # (a dotted capital I lower-cases to two code points, one of them a mark)
-            if (low := w.lower()).isalpha() and max(w) < "\u0250":
-                letters = w if w.isascii() else "".join([BYTE_LETTER[b] for b in low.encode()])
-                memo[c] = array(code, [t.id for t in merge(letters)]).tobytes()
-            else:
-                rest.append(c)
+            if (ids := self._letters(c.decode())) is not None:
+                memo[c] = ids
+                continue
+            head = c.rstrip(MARKS)  # a pre-token never joins letters and the marks after them
+            if head and len(head) < len(c):
+                first = memo.get(head) or self.old.get(head) or self._letters(head.decode())
+                if first is not None and head.decode().isalpha():
+                    tail = c[len(head):]
+                    if tail not in memo:
+                        memo[tail] = self._library(tail.decode())
+                    memo[head], memo[c] = first, first + memo[tail]
+                    continue
+            rest.append(c)
         for c, e in zip(rest, self.tok.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)):
-            memo[c] = array(code, e.ids).tobytes()
-        for c in chunks:
-            if c not in memo:
-                memo[c] = memo[c[:-1]] + memo[c[-1:]]
+            memo[c] = array(self.code, e.ids).tobytes()
+
+    def _known(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        if len(self.young) > self.limit // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = [young.get(c) for c in chunks]
+        unknown = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            c = chunks[i]
+            if (ids := old.get(c)) is None:
+                unknown.append(c)
+            else:
+                young[c] = ids
+        if not unknown and None not in found:
+            return found
+        self._miss(unknown)
+        return [young[c] if ids is None else ids for c, ids in zip(chunks, found)]
 
-    def batch(self, texts: list[bytes | None]) -> list[bytes]:
+    def batch(self, texts: pa.Array | list[bytes | None]) -> list[bytes]:
         """Little-endian id bytes (``dtype``) of each text; null is an empty text."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        column = pc.fill_null(column.cast(pa.string()), "")
         if self.added is None:
-            return [self._library(t.decode()) if t else b"" for t in texts]
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        memo = self.memo
-        split = [None if any(a in t for a in self.added) else t.lower().split()  # [\x20\x09-\x0D], A-Z: ASCII only
-                 for t in (t or b"" for t in texts)]
-        seen: set[bytes] = set()
-        for words in split:
-            seen.update(words or ())
-        self._miss(seen.difference(memo))
-        return [self._library(t.decode()) if words is None else b"".join([memo[w] for w in words])
-                for t, words in zip(texts, split)]
+            return [self._library(t) for t in column.to_pylist()]
+        whole = pa.array(np.zeros(len(column), bool))
+        for a in self.added:
+            whole = pc.or_(whole, pc.match_substring(column, a))
+        plain = pc.if_else(whole, "", column)
+        words = pc.ascii_split_whitespace(pc.ascii_lower(plain))  # [\x20\x09-\x0D], A-Z
+        coded = words.flatten().dictionary_encode()
+        ids = self._known(coded.dictionary.cast(pa.binary()).to_pylist())
+        at, width = coded.indices.to_numpy(), self.dtype.itemsize
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[at]
+        ends = np.cumsum(n)
+        # id j of an occurrence is id j of its chunk
+        place = np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        row = np.frombuffer(b"".join(ids), self.dtype)[place].tobytes()
+        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()] * width
+        out = [row[s:e] for s, e in zip(cuts.tolist(), cuts[1:].tolist())]
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._library(column[i].as_py())
+        return out
 
 
 _LOADED: dict[str, WordIds] = {}
