@@ -166,7 +166,3 @@ def reorder_columns(df: DataFrame, moves: Sequence[tuple]) -> DataFrame:
             raise ValueError(f"unknown move {where!r}")
     return select_cols(df, order)
 
-
-def blank_columns(df: DataFrame, cols: Sequence[str], dtype: str = "double") -> DataFrame:
-    """P18 generalised: set columns to null of a type."""
-    return df.withColumns({c: F.lit(None).cast(dtype) for c in cols})

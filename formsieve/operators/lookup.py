@@ -92,8 +92,10 @@ def dictionary_lookup(dictionary: DataFrame, key: str = "name", value: str = "la
     one small map, ~2*sqrt(n) comparisons instead of n.  Bucket ids are computed by
     Spark's own hash, on the collected pairs, so driver and executors agree."""
     pairs = _dictionary_pairs(dictionary, key, value, ord_col, max_entries)
-    if pairs is None:
-        return None
+    return None if pairs is None else _lookup_of(dictionary, pairs)
+
+
+def _lookup_of(dictionary: DataFrame, pairs: list[tuple]):
     if len(pairs) <= FLAT_MAP_ENTRIES:
         flat = literal_map(pairs)
         return lambda text: F.try_element_at(flat, text)
@@ -115,6 +117,17 @@ def _cell_text(df: DataFrame, c: str) -> Column:
     return num_to_text(c, df.schema[c].dataType)
 
 
+def occurring_pairs(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str = "name", value: str = "label_english",
+                    ord_col: str = "ord", max_entries: int = MAX_LITERAL_ENTRIES) -> list[tuple] | None:
+    """The first-match dictionary of the codes that occur in ``cols``, or ``None`` if they are more than ``max_entries``.
+
+    One aggregate over the cells: each task hands on its distinct codes, not its rows."""
+    codes = df.select(F.explode(F.array(*[_cell_text(df, c) for c in cols])).alias("_code")).filter(F.col("_code").isNotNull()).distinct()
+    d = first_per_code(dictionary, key, value, ord_col).select(col(key).cast("string").alias("_code"), col(value).cast("string").alias("_label"))
+    rows = d.join(codes, "_code", "left_semi").limit(max_entries + 1).collect()
+    return None if len(rows) > max_entries else [(r[0], r[1]) for r in rows]
+
+
 def label_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
                   key: str = "name", value: str = "label_english", ord_col: str = "ord",
                   max_entries: int = MAX_LITERAL_ENTRIES, id_col: str | None = None,
@@ -123,10 +136,15 @@ def label_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
     (or, with ``keep_unmatched``, the cell's own text).
 
     Bounded dictionary: literal (hash-bucketed) maps, one lookup per column, all inside
-    the scan's codegen stage (no join).  Larger dictionary: unpivot -> one join ->
+    the scan's codegen stage (no join).  Larger dictionary: the codes that occur are found
+    first (:func:`occurring_pairs`) and only they become the maps, so the frame itself is
+    neither unpivoted nor shuffled.  Only if more than ``max_entries`` dictionary codes occur: unpivot -> one join ->
     pivot back (``label_columns_join``).  ``id_col`` is accepted for compatibility; the
     join path numbers rows itself, so duplicated ids cannot mix labels."""
     lookup = dictionary_lookup(dictionary, key, value, ord_col, max_entries)
+    if lookup is None:
+        pairs = occurring_pairs(df, cols, dictionary, key, value, ord_col, max_entries)
+        lookup = None if pairs is None else _lookup_of(dictionary, pairs)
     if lookup is None:
         return label_columns_join(df, cols, dictionary, key, value, ord_col, keep_unmatched)
 

@@ -24,10 +24,10 @@ def union_fill(frames: Sequence[DataFrame]) -> DataFrame:
 
 def union_onto_template(template: DataFrame, frames: Sequence[DataFrame]) -> DataFrame:
     """The template fixes order and types; its columns come first, the parts' extra
-    columns after.  Values are cast to the template's types."""
-    out = union_fill([template] + list(frames))
-    types = {f.name: f.dataType for f in template.schema.fields}
-    return out.select(*[(col(c).cast(types[c]) if c in types else col(c)).alias(c) for c in out.columns])
+    columns after.  A value that its template type can't hold is null, never an error
+    (:func:`formsieve.operators.versions.union_versions` also lists such cells)."""
+    from formsieve.operators.versions import fitted
+    return fitted([template, *frames], template.schema)
 
 
 def union_strict(frames: Sequence[DataFrame]) -> DataFrame:

@@ -322,6 +322,14 @@ def results_subset(results: DataFrame, repeat_vars: Sequence[str] | None = None,
     return results.filter(cond)
 
 
-def warn_if_collapsed(n_before: int, n_after: int) -> None:
-    if n_after < n_before:
+def labelled_with_report(results: DataFrame, dictionary: DataFrame, question_lists: DataFrame | None = None,
+                         value_col: str = "dependent.var.value", out_col: str = "dependent.var.value.label") -> tuple[DataFrame, DataFrame]:
+    """D18 with its warning: (labelled results, the labels that stand for several results of one analysis).
+
+    Warns if there are any; one small job over the aggregated results finds out."""
+    labelled = label_results(results, dictionary, question_lists, value_col, out_col)
+    keys = ["dependent.var", "independent.var", "independent.var.value", "repeat.var", "repeat.var.value"]
+    collapsed = collapsed_labels(labelled.filter(col(out_col).isNotNull()), [k for k in keys if k in labelled.columns], out_col)
+    if not collapsed.isEmpty():
         warnings.warn("labelling made some analysis definitions indistinguishable")
+    return labelled, collapsed

@@ -8,6 +8,8 @@ parameter, the cooking rule with its own issue text).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
 from formsieve.operators.checks import LogContext, Rule, any_equals, in_set, prefix_rule
@@ -89,7 +91,10 @@ LAT_MIN, LAT_MAX = 11.90848018, 18.99999992
 PHONE_PREFIXES = ["70", "71", "73", "77", "79"]
 
 UNFIT_SHELTERS = ["emergency_shelter", "makeshift_shelter", "transitional_shelter", "open_air_no_shelter"]
-UNSAFE_LATRINES = ["flush_latrine_to_the_open", "open_air", "pit_latrine_open"]
+# Open defecation has the dictionary's code; the original comparison names ``open_air``, which
+# is no latrine code and never occurs (an option, for results as they were).
+UNSAFE_LATRINES = ["flush_latrine_to_the_open", "open_defecation", "pit_latrine_open"]
+UNSAFE_LATRINES_AS_WRITTEN = ["flush_latrine_to_the_open", "open_air", "pit_latrine_open"]
 UNSAFE_WATER = ["illegal_connection_to_piped_network", "unprotected_well", "surface_water"]
 
 # Issue texts.
@@ -155,7 +160,7 @@ def phone_rules() -> list[Rule]:
             prefix_rule("smc_agency_wrong_number", "b6_smc_agency_fp_mobile_number", PHONE_PREFIXES, ISSUE_PHONE)]
 
 
-def consistency_rules(waste_none_code: str = WASTE_NONE_CODE) -> list[Rule]:
+def consistency_rules(waste_none_code: str = WASTE_NONE_CODE, unsafe_latrines: Sequence[str] = UNSAFE_LATRINES) -> list[Rule]:
     """Q5-Q10: contradictory answers."""
     hh = c("a7_site_population_hh").cast("string").try_cast("double")
     cooking_ok = ((c("c5_fuel_available_in_site_close_proximity") == "yes")
@@ -172,7 +177,7 @@ def consistency_rules(waste_none_code: str = WASTE_NONE_CODE) -> list[Rule]:
              & (c("c10_primary_latrine_type") == "flush_latrine_to_tank_sewage_system_pit"),
              "waste_disposal_services", ISSUE_WASTE, "waste_disposal_services"),
         Rule("adequate_wash_issue", (c("wash_services") == "adequate")
-             & (in_set("c10_primary_latrine_type", UNSAFE_LATRINES) | in_set("c8_primary_water_source", UNSAFE_WATER)),
+             & (in_set("c10_primary_latrine_type", list(unsafe_latrines)) | in_set("c8_primary_water_source", UNSAFE_WATER)),
              "c10_primary_latrine_type", ISSUE_WASH, "c10_primary_latrine_type"),
         Rule("eviction_issue", (c("c3_tenancy_agreement_for_at_least_6_months") == "yes")
              & (c("f1_threats_to_the_site.eviction") == 1), "f1_threats_to_the_site.eviction", ISSUE_EVICTION,
@@ -182,11 +187,11 @@ def consistency_rules(waste_none_code: str = WASTE_NONE_CODE) -> list[Rule]:
     ]
 
 
-def raw_rules(waste_none_code: str = WASTE_NONE_CODE) -> list[Rule]:
+def raw_rules(waste_none_code: str = WASTE_NONE_CODE, unsafe_latrines: Sequence[str] = UNSAFE_LATRINES) -> list[Rule]:
     """Every row rule of the raw-batch checks, evaluated together in one scan."""
-    return adequacy_rules() + gps_rules() + phone_rules() + consistency_rules(waste_none_code)
+    return adequacy_rules() + gps_rules() + phone_rules() + consistency_rules(waste_none_code, unsafe_latrines)
 
 
-def update_rules(waste_none_code: str = WASTE_NONE_CODE) -> list[Rule]:
+def update_rules(waste_none_code: str = WASTE_NONE_CODE, unsafe_latrines: Sequence[str] = UNSAFE_LATRINES) -> list[Rule]:
     """The subset the partner-update control runs (no GPS, phone or outlier checks)."""
-    return adequacy_rules() + consistency_rules(waste_none_code)
+    return adequacy_rules() + consistency_rules(waste_none_code, unsafe_latrines)

@@ -86,7 +86,7 @@ def make_responses(n: int = 80, seed: int = 7) -> list[tuple]:
             "primary_cooking_modality": pick(["Electrical_stove", "Gas_stove", "Firewood", None]),
             "c8_primary_water_source": pick(["piped_water", "unprotected_well", "surface_water", None]),
             "c9_primary_shelter_type": pick(["emergency_shelter", "makeshift_shelter", "apartment", None]),
-            "c10_primary_latrine_type": pick(["flush_latrine_to_tank_sewage_system_pit", "open_air",
+            "c10_primary_latrine_type": pick(["flush_latrine_to_tank_sewage_system_pit", "open_defecation", "open_air",
                                               "pit_latrine_open", "flush_latrine_to_the_open", None]),
             "d1_most_common_reason_idps_left_place_of_origin": pick(["conflict", "economic", "other"]),
             "d2_1_most_common_district_of_idp_origin": pick(["YE1101", "YE1201", "YE1301"]),
