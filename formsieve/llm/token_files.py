@@ -1,6 +1,6 @@
 """Operator 9: token ids in Arrow files of fixed-size lists.
 
-Documents are encoded where they are read; their ids are range-partitioned and sorted by document id, and each task writes
+Documents are encoded where they are read; shards are ranges of document ids, cut at a sample's quantiles, and each task sorts and writes
 one shard: an Arrow file whose batches hold ``ids`` (fixed-size list of ``row_len`` ids,
 uint16 or uint32 by vocabulary size) and ``mask`` (fixed-size list of booleans, true where
 an id stands).  All rows have equal length and all batches but the last equal row counts,
@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,10 @@ from .common import saved, shared_path, slices
 from .word_ids import ENCODE_BYTES, word_ids
 
 ROW_LEN = 2048
+#: Rows that decide where shards start (shards of equal size, but for the sample's error).
+SAMPLE = 50_000
+#: Documents that a shard of a small table has at least.
+LEAST_DOCS = 500
 BATCH_ROWS = 64
 MANIFEST = "shard long, token_file string, doc_file string, n_docs long, n_ids long"
 
@@ -106,6 +111,17 @@ class ShardReader:
         self.file.close()
 
 
+def shard_starts(docs: DataFrame, parts: int, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> list[tuple]:
+    """Where each shard but the first starts, as (has an id, id, hash of the text), from about ``sample`` rows.
+
+    A row is drawn by its place in the scan, so however often an id or a text repeats the sample keeps its size."""
+    n = docs.count()
+    every, parts = max(1, n // sample), min(parts, max(1, n // LEAST_DOCS))
+    drawn = docs.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(every)) == 0).select(id_col, F.xxhash64(text_col)).collect()
+    keys = sorted((x is not None, x if x is not None else 0, t) for x, t in drawn)
+    return [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 1,
                       row_len: int = ROW_LEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes shards in ascending id order; returns the saved manifest, with ``start``, the
@@ -114,10 +130,16 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     folder = folder or shared_path(spark, "tokens")
     id_type = docs.schema[id_col].dataType
 
+    cuts = shard_starts(docs, int(spark.conf.get("spark.sql.shuffle.partitions")), id_col, text_col)
+    parts = len(cuts) + 1
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
         for b in slices(batches, size=ENCODE_BYTES):
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(encoder.batch(b.column(1)), pa.binary())], names=[id_col, "tie", "ids"])
+            shard = [bisect_right(cuts, (True, x, t) if x is not None else (False, 0, t))
+                     for x, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(encoder.batch(b.column(1)), pa.binary()), pa.array(shard, pa.int32())],
+                                             names=[id_col, "tie", "ids", "shard"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = word_ids(tokenizer).dtype
@@ -152,11 +174,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     def index_schema(b: pa.RecordBatch) -> pa.Schema:
         return pa.schema([("doc", b.schema.field(0).type), ("start", pa.int64()), ("n", pa.int64())])
 
-    # ids are half the size of texts, and the order's sample and the shuffle read them instead
-    kept = T.StructType([T.StructField(id_col, id_type), T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType())])
-    encoded = saved(docs.select(id_col, text_col, F.xxhash64(text_col).alias("tie")).mapInArrow(encode, kept), "encoded")
-    order = [F.col(id_col).asc_nulls_first(), F.col("tie"), F.col("ids")]
-    manifest = saved(encoded.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select(id_col, "ids").mapInArrow(write, MANIFEST), "manifest")
+    # ids are half the size of texts, and the shuffle moves them instead; every row knows its shard, so nothing is sampled from encoded rows
+    kept = T.StructType([T.StructField(id_col, id_type), T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("shard", T.IntegerType())])
+    encoded = docs.select(id_col, text_col, F.xxhash64(text_col).alias("tie")).mapInArrow(encode, kept)
+    manifest = saved(encoded.repartitionById(parts, "shard").sortWithinPartitions(F.col(id_col).asc_nulls_first(), "tie", "ids")
+                     .select(id_col, "ids").mapInArrow(write, MANIFEST), "manifest")
     # one row per shard: the window holds as many rows as there were tasks
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

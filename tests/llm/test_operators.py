@@ -151,6 +151,23 @@ def test_token_files_round_trip(spark, docs, none, tmp_path):
     assert token_files.read_token_files(spark, empty, none.schema["doc_id"].dataType).collect() == []
 
 
+def test_token_files_cut_shards_by_id_of_any_type(spark, tmp_path):
+    """One id holds a third of the rows; ids are texts, some null; documents stay in order over all shards."""
+    rng = random.Random(2)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 == 0 else f"é{rng.randint(0, 10 ** 6):x}", f"text {i % 700}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(6)
+    cuts = token_files.shard_starts(df, 4, sample=600)
+    assert cuts == sorted(cuts) and len(cuts) == 3
+    manifest = token_files.write_token_files(df, WORDS, folder=str(tmp_path / "s"))
+    assert manifest.count() > 1
+    got = sorted(token_files.read_token_files(spark, manifest, df.schema["doc_id"].dataType).collect(), key=lambda r: r.start)
+    key = lambda x: (x is not None, (x or "").encode())
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=key)
+    tok = Tokenizer.from_file(WORDS)
+    crcs = {t: crc(tok.encode(t, add_special_tokens=False).ids + [1]) for _, t in rows}
+    assert Counter((r.doc_id, r.ids_crc32) for r in got) == Counter((i, crcs[t]) for i, t in rows)
+
+
 # ------------------------------------------------------------------ packing
 
 def check_packing(rows, texts, capacity, end_id=0):
@@ -417,6 +434,22 @@ def test_language_id_on_the_given_table(spark, none):
     assert sorted(r.doc_id for r in language.drop_unknown(odd, training).collect()) == [4]
 
 
+def test_a_small_label_takes_nothing_from_the_others(spark):
+    """Labels of very unequal size: the others' training text stays, and so do predictions."""
+    from formsieve.llm.queries import table
+    rows = language.learned_rows(table(spark, "/root/testdata/sf0.01", "documents"))
+    tiny = rows.limit(1).withColumns({"doc_id": F.lit(10 ** 9), "text": F.lit("mimi napenda kusoma"), "lang": F.lit("xx")})
+    before, after = language.training_texts(rows), language.training_texts(rows.unionByName(tiny))
+    assert set(after) == {*before, "xx"} and after["xx"] == " mimi napenda kusoma "
+    assert all(after[k] == v and len(v) == language.LETTERS_PER_LANGUAGE for k, v in before.items())
+    held = table(spark, "/root/testdata/sf0.01", "documents").where(language.held_out())
+    plain = {r["doc_id"]: r["lang_pred"] for r in language.predict(held, before).collect()}
+    mixed = {r["doc_id"]: r["lang_pred"] for r in language.predict(held, after).collect()}
+    assert sum(mixed[k] != v for k, v in plain.items()) <= 0.005 * len(plain)
+    one = spark.createDataFrame([(1, "napenda kusoma mimi")], "doc_id long, text string")
+    assert language.predict(one, after).first()["lang_pred"] == "xx"
+
+
 def test_language_stage_keeps_documents_of_an_unlabelled_table(spark, docs):
     import corpus_pipeline as cp
     bare = docs.withColumn("lang", F.lit(None).cast("string"))
