@@ -138,7 +138,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, txt, pos) of every line that goes; ``doc`` is ``NO_ID`` for a null id."""
     order = ["h1", "h2", F.col("doc").desc(), "pos"]
-    lines = line_hashes(docs, min_chars, id_col, text_col)
+    # the range partitions' sample and the shuffle both read the hashes: they are taken once
+    lines = saved(line_hashes(docs, min_chars, id_col, text_col), "line_hashes")
     out = saved(lines.repartitionByRange(*order).sortWithinPartitions(*order)
                 .mapInArrow(lambda it: _stream(it, min_docs), STREAMED), "lines")
     # at most two rows per task, so this table is bounded by the number of tasks
