@@ -9,8 +9,9 @@ stands, and each task counts them once per distinct word (a bounded memo) and su
 texts.
 
 Training takes at most ``docs_per_language`` labelled documents of each language, chosen by a hash of id and
-text, and at most ``letters_per_language`` of their text, so what is broadcast is bounded
-by the number of languages; labels with few documents are taken whole.
+text, at most ``DOCUMENT_LETTERS`` of each and ``letters_per_language`` of them all, so what is broadcast is bounded
+by the number of languages.  Languages differ in size, and the normalisation accounts for it; a label's size changes
+no other label's text.  Labels beyond the ``MAX_LANGUAGES`` most frequent are not learned.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is everything if nothing
 could be learned (``drop_unknown`` then keeps every text with a letter); ties go to the smaller language name; with one language the score is 1; null labels are never
@@ -34,6 +35,10 @@ from .common import byte_texts, crc_rest, slices
 
 DOCS_PER_LANGUAGE = 200
 LETTERS_PER_LANGUAGE = 25_000
+#: Letters that one document adds to its language's text at most.
+DOCUMENT_LETTERS = 2_000
+#: A phrase costs at least the logarithm of this size: in a tiny text every letter is a phrase, and would be a cheap one.
+LEAST_SIZE = 2_000
 MEMO_ENTRIES = 200_000
 #: Languages learned at most, the most frequent first (bounds the thresholds sent to the executors).
 MAX_LANGUAGES = 500
@@ -98,7 +103,7 @@ class Parser:
     def __init__(self, training: dict[str, str]):
         self.names = sorted(training)
         self.automata = [SuffixAutomaton(training[n]) for n in self.names]
-        self.weight = np.array([math.log2(max(2, len(training[n]))) for n in self.names])
+        self.weight = np.array([math.log2(max(LEAST_SIZE, len(training[n]))) for n in self.names])
         self._clear()
 
     def _clear(self) -> None:
@@ -146,19 +151,19 @@ def training_texts(learn: DataFrame, docs: int = DOCS_PER_LANGUAGE, letters: int
     counts = learn.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()
     if not counts:
         return {}
+    # many documents of each language, not one long one
+    part = min(letters, DOCUMENT_LETTERS)
     draw = F.xxhash64(F.col(id_col).cast("string"), text_col, F.lit(6))
     # about three times the bound passes the draw, so only that much text meets the window
     share = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, 3e6 * docs / n)])
     few = (learn.where(F.pmod(draw, F.lit(1_000_000)) < F.try_element_at(share, F.col(lang_col)))
-           .select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, letters).alias("text"), draw.alias("draw")))
+           .select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, part).alias("text"), draw.alias("draw")))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     out: dict[str, list[str]] = {}
     for lang, text in few.withColumn("n", first).where(F.col("n") <= docs).orderBy("lang", "n").select("lang", "text").collect():
         out.setdefault(lang, []).append(" ".join(words(text)))
-    # one size for all: a longer training text would need fewer phrases by itself
-    joined = {k: f" {' '.join(v)} " for k, v in out.items()}
-    size = min([letters, *(max(2000, len(v)) for v in joined.values())])
-    return {k: v[:size] for k, v in joined.items()}
+    # each language by itself: a label with little text keeps what it has and takes nothing from the others
+    return {k: f" {' '.join(v)} "[:letters] for k, v in out.items()}
 
 
 def predict(docs: DataFrame, training: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
