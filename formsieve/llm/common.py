@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,6 +38,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def helpers_apart(operator):
+    """For operators that return the columns of ``docs``: helper columns begin with two underscores, and
+    columns of ``docs`` that do so too (ids and texts may not) get other names on the way."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        theirs = {c: f"column {i} {c.strip('_')}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        out = operator(docs.withColumnsRenamed(theirs), *args, **options)
+        return out.withColumnsRenamed({b: a for a, b in theirs.items()})
+
+    return run
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z lower-cased, every other letter left alone."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

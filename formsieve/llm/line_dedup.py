@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, lower_ascii, saved, slices, strip_space
+from .common import byte_texts, helpers_apart, lower_ascii, saved, slices, strip_space
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -204,6 +204,7 @@ def digests(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_co
             .mapInArrow(run, f"`{id_col}` {kind}, n_lines long, n_dropped long, kept_sha256 string"))
 
 
+@helpers_apart
 def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines taken out of the text; a null text stays null."""
     cols = docs.columns

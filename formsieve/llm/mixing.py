@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, saved, strip_space
+from .common import helpers_apart, saved, SPACE, strip_space
 
 WEIGHTS = (3, 1, 2)
 BLOCK = 128
@@ -145,6 +145,7 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float =
                       F.col("row.target").alias("target"), (F.col("row.base") + F.when(F.col("p") >= 0.5, 1).otherwise(0)).alias("copies"))
 
 
+@helpers_apart
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; rows that share an id get
     their copies in the order of their text's hash."""

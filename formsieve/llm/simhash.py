@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, saved, slices
+from .common import byte_texts, helpers_apart, saved, slices
 
 SHINGLE = 4
 DISTANCE = 4
@@ -296,6 +296,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     return marked.join(names, "fp").select(id_col, "fp", "component_id")
 
 
+@helpers_apart
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, max_shard: int = MAX_SHARD,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest id (null last), and among rows

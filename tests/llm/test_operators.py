@@ -691,6 +691,19 @@ def test_pipeline_stages(spark, docs, none):
         assert empty.count() == 0
 
 
+def test_helper_columns_dont_clash(spark):
+    """Stages keep columns whose names their helpers have, in any case."""
+    names = ["__h1", "__h2", "__ID", "__i", "__n", "__doc", "__Txt", "__keep", "__copies", "__rank", "__copy", "__k1"]
+    line = "a line of more than twenty characters that three documents share"
+    rows = [(i, f"{line}\nown words of document {i} " + "w%d " % i * 30, *[f"{c}{i}" for c in names]) for i in range(4)]
+    rows += [rows[1]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)).withColumn("source", F.lit("s"))
+    mine = lambda out: {(r["doc_id"], *[r[c] for c in names]) for r in out.collect()}
+    want = {(r[0], *r[2:]) for r in rows}
+    for out in (line_dedup.drop_lines(df, line_dedup.keep_bitmaps(df)), simhash.keep_one(df), mixing.mix(df)):
+        assert out.columns == df.columns and mine(out) == want
+
+
 def test_chunk_pattern_is_the_files():
     import json
     with open(WORDS, encoding="utf-8") as f:
