@@ -131,3 +131,16 @@ def test_strict_union_and_stack(spark):
     assert rows(reshape.stack([a, b])) == [(1, "x"), (2, "y")]
     with pytest.raises(ValueError):
         reshape.union_strict([a, spark.createDataFrame([(1,)], "k int")])
+
+
+def test_merge_table_keeps_null_and_unseen_answers(spark):
+    """Keys come from the results: a null answer is ``NA``, any new answer a column; empty cells are null."""
+    cells = [("q1", "yes", "A", 0.25), ("q1", "yes", "B", 0.5), ("q1", None, "A", 0.75), ("q1", "never seen", "B", 0.5), ("q2", "x.y", None, 1.0), ("n", None, "B", 7.5)]
+    res = spark.createDataFrame(cells, "`dependent.var` string, `dependent.var.value` string, `independent.var.value` string, numbers double")
+    wide = reshape.to_merge_table(res)
+    want = {}
+    for dep, val, group, x in cells:
+        want.setdefault(group, {})[f"{dep}.{'NA' if val is None else val}"] = x
+    keys = sorted({k for v in want.values() for k in v})
+    assert wide.columns == ["independent.var.value", *keys]
+    assert {r[0]: list(r)[1:] for r in wide.collect()} == {g: [v.get(k) for k in keys] for g, v in want.items()}
