@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from formsieve.operators import aggregate, columns
 from formsieve.operators import inspection as inspect
 from formsieve.operators import joins, lookup, reshape, versions, wide
 from formsieve.plans import analysis, catalog
 from formsieve.plans.catalog import _t
 from formsieve.plans.catalog_runs import _folder
-from formsieve.plans.oracle import LS, Z, _dict_values
+from formsieve.plans.oracle import DICT_FIRST, LS, Z, _dict_values
 from formsieve.sources import io
 
 
@@ -270,11 +271,43 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority IN ('
 GROUP BY l_linestatus HAVING count(DISTINCT o_orderpriority) > 1"""
 
 
+def multi_response_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """Multiple response by the question's prefix, per segment of the customer."""
+    types = ["click", "error", "purchase", "signup", "view"]
+    e, c = _t(spark, sf, "events"), _t(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    flags = e.groupBy("user_id").pivot("event_type", types).agg(F.count(F.lit(1))).fillna(0, subset=types).withColumnsRenamed({t: f"did.{t}" for t in types})
+    return aggregate.multiple_response_by_prefix(flags.join(c, flags["user_id"] == c["c_custkey"]).drop("user_id", "c_custkey"), "did", "c_mktsegment")
+
+
+_OPTIONS = ["click", "error", "purchase", "signup", "view"]
+MULTI_RESPONSE_PREFIX = f"""
+WITH u AS (SELECT user_id, {', '.join(f"count(*) FILTER (WHERE event_type = '{t}') AS {t}" for t in _OPTIONS)} FROM events GROUP BY user_id),
+a AS (SELECT c_mktsegment, {', '.join(f"count(*) FILTER (WHERE {t} <> 0) AS {t}" for t in _OPTIONS)}, count(*) FILTER (WHERE {' + '.join(_OPTIONS)} <> 0) AS cases
+      FROM u JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment),
+b AS (SELECT *, {' + '.join(_OPTIONS)} AS total FROM a),
+s AS ({' UNION ALL '.join(f"SELECT c_mktsegment, '{t}' AS question, {t} AS freq, total, cases FROM b" for t in _OPTIONS)}
+      UNION ALL SELECT c_mktsegment, 'Total', total, total, cases FROM b)
+SELECT c_mktsegment, question, CAST(freq AS DOUBLE) AS freq, CAST(freq AS DOUBLE) / total * 100 AS percent, CAST(freq AS DOUBLE) / cases * 100 AS percentofcases FROM s"""
+
+
+def label_by_position(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns at positions 2 to 4 labelled, the others left."""
+    o = catalog._stand_in_lineitem_orders(spark, sf).select("l_orderkey", "l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "l_linenumber")
+    return lookup.label_columns(o, columns.column_slice(o, 2, 4), catalog.code_dictionary(spark))
+
+
+LABEL_BY_POSITION = f"""
+WITH {_dict_values()}, {DICT_FIRST}
+SELECT l_orderkey, a.label AS l_returnflag, b.label AS l_linestatus, c.label AS o_orderpriority, o_orderstatus, l_linenumber
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN f a ON l_returnflag = a.name LEFT JOIN f b ON l_linestatus = b.name
+              LEFT JOIN f c ON o_orderpriority = c.name"""
+
+
 QUERIES = {f.__name__: f for f in (
-    union_versions, union_rejects, union_strict, lookup_occurring, wide_blocks, wide_map, inspection, inspection_kept, read_responses, plan_from_files,
+    multi_response_prefix, label_by_position, union_versions, union_rejects, union_strict, lookup_occurring, wide_blocks, wide_map, inspection, inspection_kept, read_responses, plan_from_files,
     site_master, attach_by_key, row_by_index, rows_in_set, collapsed_labels)}
 ORACLE_SQL = {
-    "union_versions": UNION_VERSIONS, "union_rejects": UNION_REJECTS, "union_strict": UNION_STRICT, "lookup_occurring": LOOKUP_OCCURRING,
+    "multi_response_prefix": MULTI_RESPONSE_PREFIX, "label_by_position": LABEL_BY_POSITION, "union_versions": UNION_VERSIONS, "union_rejects": UNION_REJECTS, "union_strict": UNION_STRICT, "lookup_occurring": LOOKUP_OCCURRING,
     "wide_blocks": WIDE_BLOCKS, "wide_map": WIDE_MAP, "inspection": INSPECTION, "inspection_kept": INSPECTION_KEPT, "read_responses": READ_RESPONSES,
     "plan_from_files": _plan_from_files_sql(), "site_master": SITE_MASTER, "attach_by_key": ATTACH_BY_KEY, "row_by_index": ROW_BY_INDEX,
     "rows_in_set": ROWS_IN_SET, "collapsed_labels": COLLAPSED_LABELS}
