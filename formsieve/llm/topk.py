@@ -1,8 +1,8 @@
 """Operator 13: exact top-k search by integer inner product.
 
 Components are scaled and floored to integers.  Queries are dealt into blocks and candidates
-into shards; each (block, shard) pair is a tile.  A tile's task holds its queries (at most
-about ``QUERY_BLOCK``, a fixed bound), streams the shard's candidates past them in ascending
+into shards; each (block, shard) pair is a tile.  A tile's task holds its queries (about
+``QUERY_BYTES`` of them, a fixed bound), streams the shard's candidates past them in ascending
 id order as tiled matrix products, and keeps ``k`` per query from each product.  A tile hands on one
 list of ``k`` per query; lists of ``FAN`` neighbouring shards are merged at a time, up a tree.
 
@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import saved
 from .vectors import matrices
 
-#: Queries that a tile's task holds, and candidates that it streams, at most about.
-QUERY_BLOCK = 16_384
+#: Bytes of queries that a tile's task holds, and candidates that it streams, at most about.
+QUERY_BYTES = 64 << 20
 SHARD = 262_144
+#: Tasks at most; with more tiles a task takes several, one after another.
+MOST_TASKS = 100_000
 #: Candidates of a shard of a small table (more shards than cores are not needed).
 LEAST_SHARD = 4_096
 #: Rows and columns of one matrix product.
@@ -171,15 +173,17 @@ def merged(lists: DataFrame, parts: int, k: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, asks: Column, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding",
-           query_block: int = QUERY_BLOCK, shard: int = SHARD) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` highest products of every row for which ``asks`` holds."""
+           query_block: int | None = None, shard: int = SHARD) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` highest products of every row for which ``asks`` holds.
+    ``query_block``: queries of a block, if not those that ``QUERY_BYTES`` hold."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).try_cast("long").alias(id_col), vector_col).filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
     ask_ids = F.coalesce(asks, F.lit(False))
     whole = rows.mapInArrow(_integers(scale), POINTS)
     points = saved(whole.groupBy("id").agg(F.min(F.struct("dims", "vector")).alias("v")).select(F.col("id").alias(id_col), "v.*")
                    .withColumn("asks", ask_ids), "topk_points")
-    n, n_asks = points.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    n, n_asks, dims = points.agg(F.count(F.lit(1)), F.count_if("asks"), F.max("dims")).first()
+    query_block = query_block or max(1, QUERY_BYTES // (8 * (dims or 1)))
     blocks = max(1, -(-n_asks // query_block))
     shards = max(1, -(-n // shard), min(2 * spark.sparkContext.defaultParallelism, n // LEAST_SHARD))
     every = lambda count, name: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
@@ -187,7 +191,7 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, scale: float = 256.0, i
     tiles = ["dims", "block", "shard"]
     queries = points.filter("asks").select("dims", dealt(blocks, 1).alias("block"), every(shards, "shard"), F.lit(0).alias("kind"), id_col, "vector")
     candidates = points.select("dims", every(blocks, "block"), dealt(shards, 2).alias("shard"), F.lit(1).alias("kind"), id_col, "vector")
-    lists = queries.unionByName(candidates).repartition(blocks * shards, *tiles).sortWithinPartitions(*tiles, "kind", id_col) \
+    lists = queries.unionByName(candidates).repartition(min(blocks * shards, MOST_TASKS), *tiles).sortWithinPartitions(*tiles, "kind", id_col) \
         .mapInArrow(_search(k), LISTS)
     best = merged(lists, shards, k)
     return best.select("query_id", F.posexplode("top").alias("rank", "hit")) \

@@ -203,8 +203,10 @@ def brute_topk(rows, every, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block,shard", [(16_384, 262_144), (3, 17)])
-def test_topk(spark, block, shard):
+@pytest.mark.parametrize("block,shard,tasks", [(None, 262_144, 100_000), (3, 17, 100_000), (3, 17, 4)])
+def test_topk(spark, monkeypatch, block, shard, tasks):
+    """Also with many small tiles, and several of them in a task."""
+    monkeypatch.setattr(topk, "MOST_TASKS", tasks)
     rows = some_vectors(310, 10) + BAD + [(906, [3.0, 4.0], 1, "", "", 1), (907, [0.0] * 10, 1, "", "", 1), (1000, [0.0] * 10, 1, "", "", 1)]
     rows += [(2000 + i, rows[5][1], 1, "", "", 1) for i in range(40)] + [rows[9]] * 30 + [(None, rows[7][1], 1, "", "", 1), (910, [1.0, 0.5], 1, "", "", 1)]
     df = spark.createDataFrame(rows, VECTORS).repartition(6)
