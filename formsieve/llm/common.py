@@ -28,12 +28,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that this process has written for itself, by ``saved``.
+WRITTEN: list[str] = []
+
+
+def remove_saved(spark: SparkSession) -> int:
+    """Removes the tables that ``saved`` wrote, and returns their number.
+
+    For the end of a job, when no DataFrame that reads them is needed any more: results are lazy and read
+    them again.  Files that were asked for (token files) are not among them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read back.
 
     Cuts the lineage like ``checkpoint()`` (a lost executor repeats tasks, not the jobs
-    before this one), but columnar and compressed, so later reads take the columns they use."""
+    before this one), but columnar and compressed, so later reads take the columns they use.
+    ``remove_saved`` removes such tables."""
     path = shared_path(df.sparkSession, name)
+    WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

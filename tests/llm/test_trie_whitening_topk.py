@@ -247,3 +247,14 @@ def test_merge_tree_of_many_parts(spark):
         want = sorted((-s, v) for q, _, s, v in rows if q == r["query_id"])[:4]
         assert [(h["neg"], h["vec_id"]) for h in r["top"]] == want
     assert len(got) == 3
+
+
+def test_saved_tables_can_be_removed(spark, monkeypatch, tmp_path):
+    import os
+
+    from formsieve.llm import common
+    monkeypatch.setattr(common, "WRITTEN", [])
+    monkeypatch.setattr(common, "checkpoint_dir", lambda _: f"file://{tmp_path}")
+    out = [common.saved(spark.range(5), f"t{i}") for i in range(3)]
+    assert sum(x.count() for x in out) == 15 and len(os.listdir(tmp_path)) == 3
+    assert common.remove_saved(spark) == 3 and os.listdir(tmp_path) == [] and common.remove_saved(spark) == 0
