@@ -134,7 +134,7 @@ def rebuilt(rows: DataFrame) -> DataFrame:
     One conversation may hold a third of all turns, so places come from a total order dealt to range partitions, and
     a conversation that goes on from one partition to the next takes its counts along (at most
     two rows a partition)."""
-    both = saved(shared_turns(rows), "trie_shared").select("conv", "kind", "place", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"), "sym") \
+    both = shared_turns(rows).select("conv", "kind", "place", F.lit(None).cast(rows.schema["turn"].dataType).alias("turn"), "sym") \
         .unionByName(rows.select("conv", F.lit(OWN).alias("kind"), F.lit(0).alias("place"), "turn", "sym"))
     order = [F.col("conv"), F.col("kind"), F.col("place"), F.col("turn").asc_nulls_first(), F.col("sym")]
     placed = saved(both.repartitionByRange(*order).sortWithinPartitions(*order).select("conv", "kind", "sym")
