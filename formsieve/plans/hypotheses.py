@@ -1,7 +1,7 @@
 """Hypothesis tests of an analysis plan (J14 with D8 / D9).
 
 Whether groups differ is tested from the counts and moments that the plan's own aggregate
-gives: one scan and one partial aggregate for all plan rows.
+gives: one scan and one partial aggregate for all plan rows, checkpointed as the few rows that it is.
 
 * categorical answers: Pearson's chi-square of answers by groups;
 * numbers: Welch's test of equal means with unequal variances (two groups: his t-test, whose
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from formsieve.functions.nulls import col
 from formsieve.functions.special import chi_square_p, f_p
 from formsieve.plans.analysis import plan_cells, plan_meta, plan_variables
+from formsieve.session import materialize
 
 # Names of the tests and the columns of their results.
 CHI_SQUARE, WELCH = "chi-square", "welch"
@@ -82,7 +83,8 @@ def plan_tests(df: DataFrame, plan, report: list | None = None) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")]
     if num_rows:
         aggs += [F.avg("x").alias("_m"), F.stddev_samp("x").alias("_sd")]
-    cells = long.groupBy("id", "r", "g", "val").agg(*aggs)
+    # a row per plan row, group and answer: kept, so that both kinds of tests and their totals read the data once
+    cells = materialize(long.groupBy("id", "r", "g", "val").agg(*aggs))
     parts = []
     if cat_rows:
         parts.append(_chi_square(cells.filter(F.col("id") < len(cat_rows)))

@@ -4,7 +4,8 @@ Each answer carries a weight and a stratum.  A share is a ratio of two weighted
 variance is that of the linearised residuals ``w * (y - p) / W`` (zero outside the
 group), added up over strata, each about its own mean.  All that needs is, per plan row, repeat
 value, group, answer and stratum: counts, sums of weights and of squared weights.  So one scan and one
-partial aggregate serve every plan row, weighted or not, and the rest is arithmetic on aggregated rows.
+partial aggregate serve every plan row, weighted or not, and the rest is arithmetic on aggregated rows
+(numerical plan rows take one scan more, for the constant near their mean).
 
 With weights of 1 and no strata the results are those of :func:`analysis.run_plan`.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from formsieve.functions.nulls import col
 from formsieve.functions.text import to_number
 from formsieve.plans.analysis import Z_95, plan_cells, plan_meta, plan_variables
+from formsieve.session import materialize
 
 SQUARE = lambda c: c * c
 
@@ -48,7 +50,8 @@ def run_weighted_plan(df: DataFrame, plan, weight: str | None = None, strata: st
         long = long.withColumn("x", F.col("x") - centre)
         wx, w2x = F.col("w") * F.col("x"), SQUARE(F.col("w")) * F.col("x")
         sums += [F.sum(wx).alias("wx"), F.sum(w2x).alias("w2x"), F.sum(w2x * F.col("x")).alias("w2xx")]
-    cells = long.groupBy("id", "r", "g", "val", "s").agg(*sums)
+    # a row per plan row, group, answer and stratum: kept, so that shares, means and totals read the data once
+    cells = materialize(long.groupBy("id", "r", "g", "val", "s").agg(*sums))
     # everybody who answered in the stratum, whatever the group: outside the group a residual is zero
     cells = cells.withColumn("n_s", F.sum("n").over(Window.partitionBy("id", "r", "s")))
     one = F.lit(1.0)
