@@ -90,15 +90,18 @@ def gamma_q(a, x) -> Column:
 
 def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
     first = F.lit(1.0) / _safe(1 - (a + b) * x / (a + 1))
-
-    def step(s, m):
-        even = m * (b - m) * x / ((a - 1 + 2 * m) * (a + 2 * m))
-        d1, c1 = F.lit(1.0) / _safe(1 + even * s["d"]), _safe(1 + even / s["c"])
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 1 + 2 * m))
-        d2, c2 = F.lit(1.0) / _safe(1 + odd * d1), _safe(1 + odd / c1)
-        return F.struct(c2.alias("c"), d2.alias("d"), (s["h"] * d1 * c1 * d2 * c2).alias("h"))
-
-    return _steps(F.greatest(a, b), F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h")), step, lambda s: s["h"])
+    # the parameters travel in the state, so that the step's expression stays small
+    state = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"), a.alias("a"), b.alias("b"), x.alias("x"))
+
+    def step(s, j):
+        m, a, b, x = F.ceil(j / 2), s["a"], s["b"], s["x"]
+        # coefficients come in turns
+        up = F.when(j % 2 == 1, m * (b - m) / ((a - 1 + 2 * m) * (a + 2 * m))) \
+            .otherwise(-(a + m) * (a + b + m) / ((a + 2 * m) * (a + 1 + 2 * m))) * x
+        c, d = _safe(1 + up / s["c"]), F.lit(1.0) / _safe(1 + up * s["d"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"), a.alias("a"), b.alias("b"), x.alias("x"))
+
+    return _steps(4 * F.greatest(a, b), state, step, lambda s: s["h"])  # two steps a term
 
 
 def beta_tail(a, b, odds) -> Column:
