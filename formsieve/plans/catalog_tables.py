@@ -87,14 +87,14 @@ def lookup_occurring(spark: SparkSession, sf: str) -> DataFrame:
     that occur are found first, the frame is neither unpivoted nor shuffled."""
     p, s = _t(spark, sf, "part"), _t(spark, sf, "supplier")
     d = p.select(F.col("p_partkey").cast("string").alias("name"), F.col("p_name").alias("label_english"), F.col("p_partkey").alias("ord")) \
-        .unionByName(s.select(F.col("s_suppkey").cast("string").alias("name"), F.col("s_name").alias("label_english"), (-F.col("s_suppkey")).alias("ord")))
+        .unionByName(s.select(F.col("s_suppkey").cast("string").alias("name"), F.col("s_name").alias("label_english"), (-1 - F.col("s_suppkey")).alias("ord")))
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     return lookup.label_columns(li, ["l_suppkey", "l_linenumber", "l_quantity"], d, max_entries=LITERALS)
 
 
 LOOKUP_OCCURRING = """
 WITH d AS (SELECT CAST(p_partkey AS VARCHAR) AS name, p_name AS label, p_partkey AS ord FROM part
-           UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, -s_suppkey FROM supplier),
+           UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, -1 - s_suppkey FROM supplier),
 f AS (SELECT name, arg_min(label, ord) AS label FROM d WHERE name IS NOT NULL GROUP BY name)
 SELECT l_orderkey, l_partkey, a.label AS l_suppkey, b.label AS l_linenumber, c.label AS l_quantity
 FROM lineitem LEFT JOIN f a ON CAST(l_suppkey AS VARCHAR) = a.name LEFT JOIN f b ON CAST(l_linenumber AS VARCHAR) = b.name
