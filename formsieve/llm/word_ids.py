@@ -3,8 +3,9 @@
 The word vocabulary (``word_bpe_49k.json``) drops white space before anything else and its
 pre-token pattern never spans it, so the ids of a text are the ids of its white-space
 separated chunks, one after another.  A column of texts is split, and its distinct chunks are
-numbered, by Arrow; each distinct chunk's ids are looked up once, and numpy puts the ids of all
-occurrences together.  Chunks recur, so each task keeps a memo chunk -> ids; a chunk that
+numbered, by Arrow; of these, the marks at the end are taken off, so a word is one part whatever
+stands after it.  Each distinct part's ids are looked up once, and Arrow puts the ids of all
+occurrences together.  Parts recur, so each task keeps a memo part -> ids; a part that
 isn't in it goes through the library.  The memo is a speed device only: when its young half is full it becomes the old half,
 and what isn't asked for again goes with that.  The ids are the library's for any text.
 
@@ -13,12 +14,14 @@ encoded by the library text by text:
 lower-casing is a normaliser (so A-Z may be lowered first), the pre-token pattern has no
 alternative that spans white space, and added tokens hold no white space.
 A text that holds the first two characters of an added token goes to the library whole,
-since added tokens are matched in the raw text, before lower-casing.
+since added tokens are matched in the raw text, before lower-casing; so does one where a mark follows a capital
+that composes otherwise than its small letter (``LOWER_LAST``), since the file composes before it lower-cases.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from array import array
 
 import numpy as np
@@ -66,11 +69,33 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
-BYTE_LETTER = byte_letters()
+BYTE_LETTER = "".join(byte_letters())
 
 
-#: ASCII that is no letter, digit, white space or apostrophe: after letters, a run of it is a pre-token of its own.
-MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+#: ASCII that is no letter, digit, white space or apostrophe: after a letter or digit, a run of it is a pre-token of its own.
+MARKS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+#: Capitals whose composed forms have no counterpart among the small letter's, or the other way round, before a combining mark.
+LOWER_LAST = r"[HIJTWY]\p{M}"
+#: Letters and digits that a normalised text still has there.  Not so for any letter: a dotted capital I and some letters of
+#: Indic scripts and Hebrew become two code points, of which the second joins the marks after it.
+ENDS = pa.array([*"0123456789", *(chr(c) for c in range(0x250) if chr(c).isalpha() and c != 0x130)])
+
+
+def _parts(chunks: pa.StringArray) -> pa.DictionaryArray:
+    """Of each chunk what stands before the marks at its end, then these marks (empty where they aren't apart)."""
+    heads = pc.ascii_rtrim(chunks, characters=MARKS)
+    apart = pc.is_in(pc.utf8_slice_codeunits(heads, -1), value_set=ENDS)
+    sizes = pc.if_else(apart, pc.binary_length(heads), pc.binary_length(chunks)).to_numpy()
+    starts = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset:chunks.offset + len(chunks) + 1]
+    places = np.empty(2 * len(chunks) + 1, np.int32)
+    places[::2], places[1::2] = starts, starts[:-1] + sizes
+    return pa.StringArray.from_buffers(2 * len(chunks), pa.py_buffer(places), chunks.buffers()[2] or pa.py_buffer(b"")).dictionary_encode()
+
+
+def _placed(ids: pa.LargeBinaryArray) -> tuple[np.ndarray, pa.Buffer]:
+    """Where each row's bytes start (and the last one's end), and the bytes of all rows."""
+    _, starts, row = ids.buffers()
+    return np.frombuffer(starts, np.int64)[ids.offset:ids.offset + len(ids) + 1], row or pa.py_buffer(b"")
 
 
 class WordIds:
@@ -80,18 +105,20 @@ class WordIds:
         self.tok = load_tokenizer(path)
         with open(path, encoding="utf-8") as f:
             self.added = _check(json.load(f))
+        self.whole = "|".join([*map(re.escape, self.added or []), LOWER_LAST])
         #: uint16 holds every id of a vocabulary of up to 65,536 entries
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size(True) <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.limit = memo_entries
+        self.merge = self.tok.model.tokenize
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _letters(self, word: str) -> bytes | None:
-        """Ids of a chunk of lower-case Latin letters, else None.
+        """Ids of a part of lower-case Latin letters, else None.
 
         Latin letters up to U+024F hold no combining marks and one pre-token: only the merges are left to do
         (a dotted capital I lower-cases to two code points, one of them a mark)."""
@@ -99,48 +126,40 @@ class WordIds:
             low = word.lower()
             if not low.isalpha() or max(word) >= "\u0250":
                 return None
-            word = "".join([BYTE_LETTER[b] for b in low.encode()])
+            word = low.encode().decode("latin-1").translate(BYTE_LETTER)
         elif not word.isalpha():
             return None
-        return array(self.code, [t.id for t in self.tok.model.tokenize(word)]).tobytes()
+        return array(self.code, [t.id for t in self.merge(word)]).tobytes()
 
-    def _miss(self, chunks: list[bytes]) -> None:
-        """Adds the ids of unknown chunks to the memo."""
+    def _miss(self, parts: list[str]) -> None:
+        """Adds the ids of unknown parts to the memo."""
         memo, rest = self.young, []
-        for c in chunks:
-            if (ids := self._letters(c.decode())) is not None:
-                memo[c] = ids
-                continue
-            head = c.rstrip(MARKS)  # a pre-token never joins letters and the marks after them
-            if head and len(head) < len(c):
-                first = memo.get(head) or self.old.get(head) or self._letters(head.decode())
-                if first is not None and head.decode().isalpha():
-                    tail = c[len(head):]
-                    if tail not in memo:
-                        memo[tail] = self._library(tail.decode())
-                    memo[head], memo[c] = first, first + memo[tail]
-                    continue
-            rest.append(c)
-        for c, e in zip(rest, self.tok.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)):
-            memo[c] = array(self.code, e.ids).tobytes()
-
-    def _known(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of distinct chunks."""
+        for p in parts:
+            if (ids := self._letters(p)) is not None:
+                memo[p] = ids
+            else:
+                rest.append(p)
+        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
+            memo[p] = array(self.code, e.ids).tobytes()
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts."""
         if len(self.young) > self.limit // 2:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        found = [young.get(c) for c in chunks]
+        found = list(map(young.get, parts))
+        new = [i for i, ids in enumerate(found) if ids is None]
         unknown = []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            c = chunks[i]
-            if (ids := old.get(c)) is None:
-                unknown.append(c)
+        for i in new:
+            p = parts[i]
+            if (ids := old.get(p)) is None:
+                unknown.append(p)
             else:
-                young[c] = ids
-        if not unknown and None not in found:
-            return found
+                young[p] = ids
         self._miss(unknown)
-        return [young[c] if ids is None else ids for c, ids in zip(chunks, found)]
+        for i in new:
+            found[i] = young[parts[i]]
+        return found
 
     def batch(self, texts: pa.Array | list[bytes | None]) -> list[bytes]:
         """Little-endian id bytes (``dtype``) of each text; null is an empty text."""
@@ -148,22 +167,17 @@ class WordIds:
         column = pc.fill_null(column.cast(pa.string()), "")
         if self.added is None:
             return [self._library(t) for t in column.to_pylist()]
-        whole = pa.array(np.zeros(len(column), bool))
-        for a in self.added:
-            whole = pc.or_(whole, pc.match_substring(column, a))
+        whole = pc.match_substring_regex(column, self.whole)
         plain = pc.if_else(whole, "", column)
         words = pc.ascii_split_whitespace(pc.ascii_lower(plain))  # [\x20\x09-\x0D], A-Z
         coded = words.flatten().dictionary_encode()
-        ids = self._known(coded.dictionary.cast(pa.binary()).to_pylist())
-        at, width = coded.indices.to_numpy(), self.dtype.itemsize
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[at]
-        ends = np.cumsum(n)
-        # id j of an occurrence is id j of its chunk
-        place = np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        row = np.frombuffer(b"".join(ids), self.dtype)[place].tobytes()
-        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()] * width
+        parts = _parts(coded.dictionary)
+        ids = pa.array(self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        # a chunk's ids are those of its two parts, a text's those of its chunks
+        starts, row = _placed(ids.take(parts.indices))
+        ids = pa.Array.from_buffers(pa.large_binary(), len(coded.dictionary), [None, pa.py_buffer(starts[::2].copy()), row])
+        starts, row = _placed(ids.take(coded.indices))
+        cuts, row = starts[words.offsets.to_numpy() - words.offsets[0].as_py()], row.to_pybytes()
         out = [row[s:e] for s, e in zip(cuts.tolist(), cuts[1:].tolist())]
         for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
             out[i] = self._library(column[i].as_py())

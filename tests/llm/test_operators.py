@@ -97,6 +97,22 @@ def test_word_ids_letter_shortcut_holds_for_every_letter():
         assert np.frombuffer(ids, coder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_ids_remember_a_word_once_whatever_marks_follow():
+    coder = WordIds(WORDS)
+    coder.batch([b"abcd Abcd. abcd, 2024, (abcd) abcd", b"", b"abcd... 2024."])
+    assert set(coder.young) == {"abcd", "2024", "(abcd", "", ".", ",", ")", "..."}
+
+
+def test_word_ids_of_letters_that_composing_changes():
+    """Letters that end in a combining mark once normalised, seen before alone; capitals that compose otherwise than small letters."""
+    coder, tok = WordIds(WORDS), Tokenizer.from_file(WORDS)
+    parted = ["\u0130", "\u0958", "a\u0130", "\ufb1d", "\u0915\u093c"]
+    composed = ["H\u0331a", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "h\u0331a", "I\u0307\u0338\u00c9", "E\u0301t\u00e9", "A\u0331."]
+    for texts in (parted, [c + tail for c in parted for tail in (".", ",,%", "<")], composed, [f"The {c}, 12." for c in composed]):
+        for t, ids in zip(texts, coder.batch([t.encode() for t in texts])):
+            assert np.frombuffer(ids, coder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 def test_pre_tokens_agree_below_the_safe_end():
     import regex
     from formsieve.llm.token_counts import PRE_TOKEN, SAFE_END
