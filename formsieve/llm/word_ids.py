@@ -131,34 +131,27 @@ class WordIds:
             return None
         return array(self.code, [t.id for t in self.merge(word)]).tobytes()
 
-    def _miss(self, parts: list[str]) -> None:
-        """Adds the ids of unknown parts to the memo."""
-        memo, rest = self.young, []
-        for p in parts:
-            if (ids := self._letters(p)) is not None:
-                memo[p] = ids
-            else:
-                rest.append(p)
-        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False)):
-            memo[p] = array(self.code, e.ids).tobytes()
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts that the memo doesn't hold."""
+        found = list(map(self._letters, parts))
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(rest, self.tok.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False)):
+            found[i] = array(self.code, e.ids).tobytes()
+        return found
 
     def _known(self, parts: list[str]) -> list[bytes]:
         """The ids of distinct parts."""
         if len(self.young) > self.limit // 2:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        found = list(map(young.get, parts))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        unknown = []
-        for i in new:
-            p = parts[i]
-            if (ids := old.get(p)) is None:
-                unknown.append(p)
+        found, unknown = list(map(young.get, parts)), []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if (ids := old.get(parts[i])) is None:
+                unknown.append(i)
             else:
-                young[p] = ids
-        self._miss(unknown)
-        for i in new:
-            found[i] = young[parts[i]]
+                found[i] = young[parts[i]] = ids
+        for i, ids in zip(unknown, self._encoded([parts[i] for i in unknown])):
+            found[i] = young[parts[i]] = ids
         return found
 
     def batch(self, texts: pa.Array | list[bytes | None]) -> list[bytes]:
